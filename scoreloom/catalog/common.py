@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.hashing import order_key  # noqa: F401
 from scoreloom.functions.numeric import threshold
-from scoreloom.functions.text import DESCRIPTOR_NAMES
+from scoreloom.functions.text import DESCRIPTOR_NAMES, has_token
 from scoreloom.operators import featurize, split
-from scoreloom.session import bounded_side
+from scoreloom.session import bounded_side, stored
 from scoreloom.sources.tables import by_target, documents, labelled_documents, table  # noqa: F401
 
 FAMILIES = featurize.text_families()
@@ -22,9 +22,18 @@ def family(*names: str) -> list[featurize.Family]:
 
 
 def labelled(spark: SparkSession, sf: str, *names: str) -> DataFrame:
-    """(dataset, row_id, target, families...) of the two labelled datasets."""
+    """(dataset, row_id, target, families...) of the two labelled datasets.
+
+    Every caller reads the rows several times (cuts, fit, score), so the
+    features are written once; invalid texts have null families.
+    """
     docs = labelled_documents(spark, sf)
-    return by_target(featurize.featurize(docs, family(*names)).drop("text"))
+    return by_target(stored(featurize.featurize(docs, family(*names)).drop("text"), "features"))
+
+
+def valid_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with at least one token; checked on the text before features are made."""
+    return documents(spark, sf).filter(has_token(F.col("text")))
 
 
 def pool(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,7 +21,8 @@ def _bits_sql(block: str) -> str:
 
 
 def _bits(spark, sf, name):
-    docs = featurize.featurize(C.documents(spark, sf), C.family(name)).filter(F.size(name) > 0)
+    docs = featurize.featurize(C.valid_documents(spark, sf), C.family(name))
+    docs = docs.filter(F.size(name) > 0) if name == "keys" else docs
     return docs.select(
         "row_id",
         F.size(name).cast("bigint").alias("n_bits"),
@@ -47,7 +48,7 @@ def pattern_key_bits(spark, sf):
 
 @query("scalar_descriptors", S.ctes("wide") + f"SELECT row_id, {S.rounded(*DESCRIPTOR_NAMES)} FROM wide")
 def scalar_descriptors(spark, sf):
-    docs = featurize.featurize(C.documents(spark, sf), C.family("desc")).filter(F.col("desc").isNotNull())
+    docs = featurize.featurize(C.valid_documents(spark, sf), C.family("desc"))
     return docs.select(
         "row_id", *[F.round(F.get("desc", F.lit(i)), 6).alias(n) for i, n in enumerate(DESCRIPTOR_NAMES)]
     )
@@ -60,7 +61,7 @@ def scalar_descriptors(spark, sf):
 )
 def feature_assemble(spark, sf):
     """All four families in one vector per document, in table order."""
-    docs = featurize.featurize(C.documents(spark, sf), C.FAMILIES).filter(F.col("desc").isNotNull())
+    docs = featurize.featurize(C.valid_documents(spark, sf), C.FAMILIES)
     rows = featurize.assemble(docs, C.FAMILIES).select("row_id", vector_to_array("features").alias("v"))
     hits = F.filter(F.transform("v", lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
     return rows.select(

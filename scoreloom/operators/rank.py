@@ -11,6 +11,7 @@ from scoreloom.functions.hashing import order_key
 from scoreloom.session import bounded_side, materialise
 
 PREFIX_DIGITS = 4  # 16**4 key prefixes per group
+WINDOW_ROWS = 1_000_000  # (key, id) pairs one task may order
 
 
 def exact_rank(
@@ -45,51 +46,48 @@ def assign_segments(
     takes: Callable[[DataFrame], DataFrame],
     out: str = "segment",
     digits: int = PREFIX_DIGITS,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Cut every stratum (columns without nulls), in seeded order, into consecutive segments of exact size.
 
     `takes` maps (strata..., n) to (strata..., segment, take): `take` rows of
-    the stratum lie in segments 0..segment. Only prefix counts and the rows of
-    the few prefixes that hold a cut are shuffled; the data itself is labelled
-    by comparing each row with the cuts of its stratum.
+    the stratum lie in segments 0..segment. The cuts are found first: strata of
+    up to `window_rows` rows are ordered as they are; for larger ones only
+    prefix counts and the rows of the few prefixes that hold a cut are shuffled.
+    The data itself never moves, each row is compared with the cuts of its stratum.
     """
     strata = list(strata)
     key = order_key(seed, purpose, row_id)
     keyed = df.select(*strata, F.col(row_id).alias("_row"), key.alias("_key"))
-    counts = (
-        keyed.groupBy(*strata, F.substring("_key", 1, digits).alias("_prefix"))
-        .agg(F.count(F.lit(1)).alias("_size"))
-    )
-    totals = counts.groupBy(*strata).agg(F.sum("_size").alias("n"))
-    running = Window.partitionBy(*strata).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    ladder = counts.withColumn("_upto", F.sum("_size").over(running))
-    wanted = takes(totals)
-    edges = bounded_side(
-        wanted.join(ladder, strata, "left")
-        .filter(
-            ((F.col("take") > F.col("_upto") - F.col("_size")) & (F.col("take") <= F.col("_upto")))
-            | ((F.col("take") == 0) & (F.col("_upto") == F.col("_size")))
+    totals = bounded_side(keyed.groupBy(*strata).agg(F.count(F.lit(1)).alias("n")))
+    wanted = takes(totals).select(*strata, F.col("take").cast("bigint").alias("_rank"))
+    if (totals.agg(F.max("n")).first()[0] or 0) <= window_rows:
+        order = Window.partitionBy(*strata).orderBy("_key", "_row")
+        placed = keyed.withColumn("_rank", F.row_number().over(order).cast("bigint"))
+    else:
+        prefixed = keyed.withColumn("_prefix", F.substring("_key", 1, digits))
+        running = Window.partitionBy(*strata).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+        ladder = (
+            prefixed.groupBy(*strata, "_prefix")
+            .agg(F.count(F.lit(1)).alias("_size"))
+            .withColumn("_upto", F.sum("_size").over(running))
         )
-        .select(
-            *strata,
-            "segment",
-            F.when(F.col("take") > 0, F.col("_prefix")).alias("_prefix"),
-            (F.col("take") - F.col("_upto") + F.col("_size")).alias("_need"),
+        edges = bounded_side(
+            wanted.join(ladder, strata)
+            .filter((F.col("_rank") > F.col("_upto") - F.col("_size")) & (F.col("_rank") <= F.col("_upto")))
+            .select(*strata, "_prefix", (F.col("_upto") - F.col("_size")).alias("_before"))
+            .distinct()
         )
-    )
-    order = Window.partitionBy(*strata, "segment").orderBy("_key", "_row")
-    found = (
-        keyed.withColumn("_prefix", F.substring("_key", 1, digits))
-        .join(edges, [*strata, "_prefix"])
-        .withColumn("_at", F.row_number().over(order))
-        .filter(F.col("_at") == F.col("_need"))
-        .select(*strata, "segment", "_key", "_row")
-    )
-    empty = edges.filter(F.col("_prefix").isNull()).select(
-        *strata, "segment", F.lit("").alias("_key"), F.lit(0).cast(dict(keyed.dtypes)["_row"]).alias("_row")
+        order = Window.partitionBy(*strata, "_prefix").orderBy("_key", "_row")
+        placed = prefixed.join(edges, [*strata, "_prefix"]).withColumn(
+            "_rank", F.col("_before") + F.row_number().over(order)
+        )
+    found = placed.join(wanted, [*strata, "_rank"]).select(*strata, "_key", "_row")
+    nothing = wanted.filter(F.col("_rank") == 0).select(
+        *strata, F.lit("").alias("_key"), F.lit(None).cast(dict(keyed.dtypes)["_row"]).alias("_row")
     )
     cuts = bounded_side(
-        found.unionByName(empty).groupBy(*strata).agg(F.collect_list(F.struct("_key", "_row")).alias("_cuts"))
+        found.unionByName(nothing).groupBy(*strata).agg(F.collect_list(F.struct("_key", "_row")).alias("_cuts"))
     )
     mark = F.struct(F.col("_key"), F.col(row_id).alias("_row"))
     return (

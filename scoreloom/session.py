@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,7 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared:
         sc.setCheckpointDir(shared)
     elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="scoreloom-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="scoreloom-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     else:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")
 
@@ -67,6 +71,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write `df` to a parquet table beside the checkpoints; readers scan only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_side(df: DataFrame, max_rows: int = BOUNDED_ROWS) -> DataFrame:
     """The small side of a join, run once.
 
