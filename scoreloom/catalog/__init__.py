@@ -6,7 +6,7 @@ import importlib
 
 from scoreloom.catalog.registry import ORACLES, QUERIES, Query
 
-MODULES = ("cleaning", "features", "sampling", "scoring", "measures")
+MODULES = ("cleaning", "features", "sampling", "scoring", "measures", "combine", "reporting", "learners")
 
 
 def _load() -> None:

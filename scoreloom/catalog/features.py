@@ -22,6 +22,8 @@ def _bits_sql(block: str) -> str:
 
 def _bits(spark, sf, name):
     docs = featurize.featurize(C.valid_documents(spark, sf), C.family(name))
+    if name == "chargram":
+        docs = featurize.featurize(C.valid_documents(spark, sf).filter(F.char_length("text") > 3), C.family(name))
     docs = docs.filter(F.size(name) > 0) if name == "keys" else docs
     return docs.select(
         "row_id",

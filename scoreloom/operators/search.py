@@ -53,12 +53,14 @@ def sample_params(
 
 
 def sample_params_by(
-    datasets: DataFrame, dataset: str, n: int, seed: int = 42, space: Mapping[str, Sequence[object]] = FOREST_SPACE
+    datasets: DataFrame, dataset: str, n: int, seed: int = 42, space: Mapping[str, Sequence[object]] = FOREST_SPACE,
+    place: str | None = None,
 ) -> DataFrame:
     """An independent sample of n combinations for every row of `datasets`."""
     numbers = datasets.withColumn("combo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid_size(space) - 1).cast("bigint"))))
     w = Window.partitionBy(dataset).orderBy(order_key(seed, "params", dataset, "combo"), "combo")
-    kept = numbers.withColumn("_at", F.row_number().over(w)).filter(F.col("_at") <= n).drop("_at")
+    kept = numbers.withColumn("_at", F.row_number().over(w)).filter(F.col("_at") <= n)
+    kept = kept.withColumnRenamed("_at", place) if place else kept.drop("_at")
     return with_parameters(kept, space)
 
 
