@@ -28,12 +28,23 @@ CHECK_PARAMS = {
 }
 
 
+_STORES: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark, sf, name, make):
+    """The feature store is built once per application and read by every later step."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORES:
+        _STORES[key] = make()
+    return _STORES[key]
+
+
 def _rows(spark, sf):
-    return steps.prepare(C.labelled(spark, sf, "keys", "desc"), FAMILIES)
+    return _once(spark, sf, "rows", lambda: steps.prepare(C.labelled(spark, sf, "keys", "desc"), FAMILIES))
 
 
 def _ready(spark, sf):
-    return steps.assembled(_rows(spark, sf), FAMILIES)
+    return _once(spark, sf, "ready", lambda: steps.assembled(_rows(spark, sf), FAMILIES))
 
 
 def _one(name):

@@ -24,7 +24,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, VarianceThresholdSelector
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.functions.numeric import safe_score, threshold
@@ -34,6 +34,7 @@ from scoreloom.session import materialise
 
 SCORED = ("row_id", "target", "score", "prediction")
 MAX_DEPTH = 30  # deepest tree Spark grows
+PARTITION_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -287,10 +288,28 @@ PROFILES: Mapping[str, Profile] = {
 }
 
 
+def compact(train: DataFrame, column: str = "features") -> DataFrame:
+    """Training rows in partitions of about PARTITION_BYTES; never more than there are.
+
+    A small training set in many partitions pays task overhead at every tree
+    level and gradient step.
+    """
+    first = train.select(column).first()
+    if first is None:
+        raise ValueError("no training rows")
+    vector = first[0]
+    width = 12 * len(vector.indices) if hasattr(vector, "indices") else 8 * len(vector)
+    return train.coalesce(1 + train.count() * max(width, 8) // PARTITION_BYTES)
+
+
 def fit(name: str, train: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42):
     """Fit a named classifier; the result maps rows to scored rows."""
     profile = PROFILES[name]
-    return profile.fit(train, seed, **{**profile.params, **(params or {})})
+    rows = compact(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return profile.fit(rows, seed, **{**profile.params, **(params or {})})
+    finally:
+        rows.unpersist()
 
 
 def fit_predict(name: str, train: DataFrame, test: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42) -> DataFrame:
@@ -314,7 +333,7 @@ def sweep(
             return name, None, "FAILED", f"{type(error).__name__}: {error}"
 
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        done = pool.map(inheritable_thread_target(run), jobs)
+        done = pool.map(inheritable_thread_target(SparkSession.getActiveSession())(run), jobs)
     status = [(name, state, message) for name, _, state, message in done]
     parts = [df for _, df, _, _ in done if df is not None]
     if not parts:
