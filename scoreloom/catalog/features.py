@@ -15,16 +15,14 @@ from scoreloom.operators import featurize
 def _bits_sql(block: str) -> str:
     return (
         S.ctes(block)
-        + "SELECT row_id, count(*) AS n_bits, CAST(sum(bit) AS BIGINT) AS bit_sum,"
-        f" md5(string_agg(CAST(bit AS VARCHAR), ',' ORDER BY bit)) AS bits_md5 FROM {block} GROUP BY row_id"
+        + "SELECT t.row_id, count(b.bit) AS n_bits, CAST(coalesce(sum(b.bit), 0) AS BIGINT) AS bit_sum,"
+        f" md5(coalesce(string_agg(CAST(b.bit AS VARCHAR), ',' ORDER BY b.bit), '')) AS bits_md5"
+        f" FROM tok t LEFT JOIN {block} b ON b.row_id = t.row_id WHERE len(t.t) > 0 GROUP BY t.row_id"
     )
 
 
 def _bits(spark, sf, name):
     docs = featurize.featurize(C.valid_documents(spark, sf), C.family(name))
-    if name == "chargram":
-        docs = featurize.featurize(C.valid_documents(spark, sf).filter(F.char_length("text") > 3), C.family(name))
-    docs = docs.filter(F.size(name) > 0) if name == "keys" else docs
     return docs.select(
         "row_id",
         F.size(name).cast("bigint").alias("n_bits"),

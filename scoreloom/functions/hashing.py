@@ -14,5 +14,10 @@ def order_key(seed: int, purpose: str, *parts: Column | str) -> Column:
 
 def hash_slot(text: Column, size: Column | int) -> Column:
     """First 60 bits of md5(text), modulo `size`."""
+    first, digits = 1, 15
+    if isinstance(size, int) and size & (size - 1) == 0:
+        # Modulo a power of two only the last hex digits count.
+        digits = max(1, -(-(size.bit_length() - 1) // 4))
+        first = 16 - digits
     n = F.lit(size) if isinstance(size, int) else size
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint") % n.cast("bigint")
+    return F.conv(F.substring(F.md5(text), first, digits), 16, 10).cast("bigint") % n.cast("bigint")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -19,8 +20,8 @@ KEY_PATTERNS: tuple[str, ...] = (
     r"[A-Z]{2}",
     r"https?://",
     r"www\.",
-    r"[A-Za-z0-9._]+@[A-Za-z0-9]+",
-    r"<[a-z]+",
+    r"[A-Za-z0-9._]@[A-Za-z0-9]",
+    r"<[a-z]",
     r"[{}]",
     r"[;]",
     r"[?]",
@@ -128,9 +129,24 @@ def chargram_bits(text: Column, n: int = 4, bits: int = 1024) -> Column:
     return F.when(has_token(text), runs)
 
 
+def _literal(pattern: str) -> str | None:
+    """The fixed text a pattern stands for, if it has no other regex syntax than one-character classes."""
+    plain = re.sub(r"\[([^\\^\]])\]", r"\1", pattern)
+    rest = re.sub(r"\[[^\\^\]]\]", "", pattern)
+    return None if re.search(r"[\\.*+?()\[\]{}|^$]", rest) else plain
+
+
 def key_bits(text: Column, patterns: Sequence[str] = KEY_PATTERNS) -> Column:
-    """Positions of the matching patterns, from 0; null when the text has no token."""
-    hits = F.array(*[F.when(text.rlike(p), F.lit(i)) for i, p in enumerate(patterns)])
+    """Positions of the matching patterns, from 0; null when the text has no token.
+
+    Fixed texts are searched bytewise, only real patterns run as regex.
+    """
+
+    def found(pattern: str) -> Column:
+        plain = _literal(pattern)
+        return text.rlike(pattern) if plain is None else text.contains(F.lit(plain))
+
+    hits = F.array(*[F.when(found(p), F.lit(i)) for i, p in enumerate(patterns)])
     return F.when(has_token(text), F.array_compact(hits))
 
 
@@ -174,12 +190,13 @@ def descriptors(text: Column) -> Column:
             _count_class(text, "A-Za-z"),
             _count_class(text, "A-Z"),
             _count_class(text, "0-9"),
-            _count_class(text, r"!-/:-@\[-`{-~"),
+            _count_class(text, "!-~"),
             _count_class(text, r" \t\n\r\f"),
         )
 
         def values(lengths: Column, lines: Column, seen: Column) -> Column:
-            letters, upper, digits, punct, blank = (F.get(seen, F.lit(i)) for i in range(5))
+            letters, upper, digits, ink, blank = (F.get(seen, F.lit(i)) for i in range(5))
+            punct = ink - letters - digits
             columns = [
                 n_chars,
                 n_tokens,

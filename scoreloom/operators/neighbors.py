@@ -9,7 +9,8 @@ training block with one query block and returns k rows per query.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,8 +21,9 @@ from scoreloom.functions.hashing import hash_slot, order_key
 from scoreloom.functions.numeric import threshold
 from scoreloom.session import bounded_side, materialise
 
-PIVOTS = 32
+MAX_PIVOTS = 1_024
 BLOCK_ROWS = 2_048
+CHUNK_ROWS = 64
 SLACK = 1e-9
 
 
@@ -46,7 +48,7 @@ def k_nearest(
     values: str = "values",
     label: str = "target",
     seed: int = 42,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query, neighbour, target, distance) of the k nearest training rows of every query."""
@@ -55,17 +57,19 @@ def k_nearest(
     data = train.select(
         F.col(row_id).cast("string").alias("_id"), F.col(row_id).alias("neighbour"), label, values
     )
+    if pivots is None:
+        pivots = min(MAX_PIVOTS, max(8, math.isqrt(train.count())))
     picked = (
         data.withColumn("_key", order_key(seed, "pivot", "_id")).orderBy("_key", "_id").limit(pivots).collect()
     )
     centres = np.array([r[values] for r in picked], dtype=np.float64)
-    between = _distances(centres, centres)
+    shared = spark.sparkContext.broadcast((centres, _distances(centres, centres)))
 
     def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            d = _distances(_matrix(batch[values]), centres)
+            d = _distances(_matrix(batch[values]), shared.value[0])
             cell = d.argmin(axis=1)
             yield batch.assign(cell=cell.astype("int32"), reach=d[np.arange(len(batch)), cell])
 
@@ -74,7 +78,7 @@ def k_nearest(
         data.select("_id", "neighbour", F.col(label).cast("int").alias(label), F.col(values).cast("array<double>"))
         .mapInPandas(to_cells, schema)
     )
-    # At most pivots * k rows: cell sizes, radii and the k smallest reaches.
+    # At most pivots rows of k numbers: cell sizes, radii and the k smallest reaches.
     near = Window.partitionBy("cell").orderBy("reach", "_id")
     inner = (
         placed.select("cell", "reach", "_id")
@@ -97,23 +101,24 @@ def k_nearest(
     inner_reach = np.concatenate([r["inner"] for r in summary])
 
     def to_targets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            d = _distances(_matrix(batch[values]), centres)
-            d_cells = d[:, cells]
-            upper = d_cells[:, owner] + inner_reach
-            at = min(k, upper.shape[1]) - 1
-            bound = np.partition(upper, at, axis=1)[:, at] * (1 + SLACK) + SLACK
-            home = d.argmin(axis=1)
-            lower = np.maximum(d_cells - high, low - d_cells)
-            gap = between[home][:, cells]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d_cells**2 - d[np.arange(len(batch)), home][:, None] ** 2) / (2 * gap)
-            lower = np.maximum(lower, np.where(gap > 0, plane, 0.0))
-            rows, hits = np.nonzero(lower <= bound[:, None])
-            out = batch.iloc[rows].reset_index(drop=True)
-            yield out.assign(cell=cells[hits].astype("int32"), blocks=blocks[hits].astype("int32"))
+        centres, between = shared.value
+        for whole in batches:
+            for start in range(0, len(whole), CHUNK_ROWS):
+                batch = whole.iloc[start : start + CHUNK_ROWS]
+                d = _distances(_matrix(batch[values]), centres)
+                d_cells = d[:, cells]
+                upper = d_cells[:, owner] + inner_reach
+                at = min(k, upper.shape[1]) - 1
+                bound = np.partition(upper, at, axis=1)[:, at] * (1 + SLACK) + SLACK
+                home = d.argmin(axis=1)
+                lower = np.maximum(d_cells - high, low - d_cells)
+                gap = between[home][:, cells]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    plane = (d_cells**2 - d[np.arange(len(batch)), home][:, None] ** 2) / (2 * gap)
+                lower = np.maximum(lower, np.where(gap > 0, plane, 0.0))
+                rows, hits = np.nonzero(lower <= bound[:, None])
+                out = batch.iloc[rows].reset_index(drop=True)
+                yield out.assign(cell=cells[hits].astype("int32"), blocks=blocks[hits].astype("int32"))
 
     asked = queries.select(F.col(row_id).alias("query"), F.col(values).cast("array<double>").alias(values))
     q_type = dict(asked.dtypes)["query"]

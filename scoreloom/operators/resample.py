@@ -119,8 +119,10 @@ def to_ratio(
         ),
         keys, "_key", row_id, out="_rank",
     )
+    # There are as many draws as output rows, which no size estimate sees through
+    # the explode: the hint keeps the planner from broadcasting them.
     repeated = (
-        ranked.join(draws, [*keys, "_rank"])
+        ranked.join(draws.hint("merge"), [*keys, "_rank"])
         .withColumn("copy_no", F.explode(F.expr("sequence(1L, _copies)")))
         .select(*train.columns, "copy_no")
     )
