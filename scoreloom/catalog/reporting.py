@@ -9,7 +9,8 @@ from scoreloom.catalog import sql as S
 from scoreloom.catalog.registry import query
 from scoreloom.catalog.sampling import _space_sql
 from scoreloom.operators import metrics, rank, report, search
-from scoreloom.session import materialise
+from scoreloom.plans import steps
+from scoreloom.session import materialise, scratch_path
 from scoreloom.sources.tables import table
 
 # experiment, score over line items, step, comparison, model, family, features, sampling
@@ -101,6 +102,7 @@ _SQL = (
     "fin AS (SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY \"Dataset\" ORDER BY \"StepOrder\" DESC) AS place FROM sel) WHERE place = 1)\n"
 )
 TIE = "CandidateLabel"
+_DELTAS = tuple(f"{m}_Delta_vs_Previous_Selected" for m in report.COMPARED)
 
 
 def _gain_sql(now: str, before: str, metric: str, delta: str, gain: str) -> str:
@@ -110,6 +112,24 @@ def _gain_sql(now: str, before: str, metric: str, delta: str, gain: str) -> str:
     )
 
 
+@query(
+    "collected_progression",
+    _SQL + "SELECT * EXCLUDE (\"SourceFile\"), replace(\"SourceFile\", '.csv', '') AS \"SourceFile\", " + ", ".join(
+        f'round("{m}" - lag("{m}") OVER (PARTITION BY "Dataset" ORDER BY "StepOrder"), 6) AS "{m}_Delta_vs_Previous_Selected"' for m in report.COMPARED
+    ) + " FROM sel",
+)
+def collected_progression(spark, sf):
+    """The step tables written as files, read back through their alternatives, and reported."""
+    base = scratch_path(spark, "steps")
+    sources = {}
+    for step, rows in _step_tables(_measured(spark, sf)).items():
+        rows.write.parquet(f"{base}/{step}")
+        sources[step] = [f"{base}/absent.csv", f"{base}/{step}"]
+    out = steps.collect(spark, sources, DATASETS)["progression"]
+    out = out.withColumn("SourceFile", F.substring_index("SourceFile", "/", -1))
+    return C.rounded(out, *_DELTAS)
+
+
 @query("candidate_normalize", _SQL + "SELECT * FROM cand")
 def candidate_normalize(spark, sf):
     return _candidates(spark, sf)
@@ -140,9 +160,6 @@ def final_candidate(spark, sf):
     return report.final_candidate(report.progression(_with_baseline(spark, sf), TIE))
 
 
-_DELTAS = tuple(f"{m}_Delta_vs_Previous_Selected" for m in report.COMPARED)
-
-
 @query(
     "progression_deltas",
     _SQL + "SELECT *, " + ", ".join(

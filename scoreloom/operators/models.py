@@ -68,6 +68,16 @@ def _scores(model, rows: DataFrame) -> DataFrame:
     )
 
 
+def _scorer(model, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame], DataFrame]:
+    """Rows to scored rows; `.model` is the fitted Spark model, which can be saved."""
+
+    def run(df: DataFrame) -> DataFrame:
+        return _scores(model, prepare(df))
+
+    run.model = model
+    return run
+
+
 def _subset(max_features: object) -> str:
     return str(max_features)
 
@@ -81,10 +91,7 @@ def fit_forest(train: DataFrame, seed: int, trees=300, depth=MAX_DEPTH, leaf=1,
         bootstrap=bool(bootstrap), impurity=criterion, maxBins=bins, seed=seed, cacheNodeIds=True,
         checkpointInterval=10, maxMemoryInMB=512,
     )
-    model = forest.fit(rows)
-    scorer = lambda df: _scores(model, df)
-    scorer.model = model
-    return scorer
+    return _scorer(forest.fit(rows))
 
 
 def fit_boosted(train: DataFrame, seed: int, rounds=100, step=0.1, depth=3, bins=32, rate=1.0, max_features="all"):
@@ -93,14 +100,14 @@ def fit_boosted(train: DataFrame, seed: int, rounds=100, step=0.1, depth=3, bins
         subsamplingRate=float(rate), featureSubsetStrategy=_subset(max_features), seed=seed, cacheNodeIds=True,
         checkpointInterval=10,
     ).fit(train)
-    return lambda df: _scores(model, df)
+    return _scorer(model)
 
 
 def fit_tree(train: DataFrame, seed: int, depth=8):
     model = DecisionTreeClassifier(
         labelCol="target", weightCol="weight", maxDepth=int(depth), seed=seed, cacheNodeIds=True
     ).fit(balanced_weights(train))
-    return lambda df: _scores(model, df)
+    return _scorer(model)
 
 
 def _standardiser(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
@@ -122,9 +129,7 @@ def fit_logistic(train: DataFrame, seed: int, c=1.0, max_iter=200, weights="bala
         labelCol="target", weightCol="weight", regParam=1.0 / (float(c) * total), elasticNetParam=0.0,
         standardization=False, maxIter=int(max_iter),
     ).fit(prepare(rows))
-    scorer = lambda df: _scores(model, prepare(df))
-    scorer.model = model
-    return scorer
+    return _scorer(model, prepare)
 
 
 def _calibrated(train: DataFrame, seed: int, max_iter: int, reg: float, folds: int = 3):
@@ -288,28 +293,28 @@ PROFILES: Mapping[str, Profile] = {
 }
 
 
-def compact(train: DataFrame, column: str = "features") -> DataFrame:
-    """Training rows in partitions of about PARTITION_BYTES; never more than there are.
+def compact(cached: DataFrame, column: str = "features") -> DataFrame:
+    """Cached training rows in partitions of about PARTITION_BYTES; never more than there are.
 
     A small training set in many partitions pays task overhead at every tree
     level and gradient step.
     """
-    first = train.select(column).first()
-    if first is None:
+    rows = cached.count()
+    if not rows:
         raise ValueError("no training rows")
-    vector = first[0]
+    vector = cached.select(column).first()[0]
     width = 12 * len(vector.indices) if hasattr(vector, "indices") else 8 * len(vector)
-    return train.coalesce(1 + train.count() * max(width, 8) // PARTITION_BYTES)
+    return cached.coalesce(1 + rows * max(width, 8) // PARTITION_BYTES)
 
 
 def fit(name: str, train: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42):
     """Fit a named classifier; the result maps rows to scored rows."""
     profile = PROFILES[name]
-    rows = compact(train).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return profile.fit(rows, seed, **{**profile.params, **(params or {})})
+        return profile.fit(compact(cached), seed, **{**profile.params, **(params or {})})
     finally:
-        rows.unpersist()
+        cached.unpersist()
 
 
 def fit_predict(name: str, train: DataFrame, test: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42) -> DataFrame:

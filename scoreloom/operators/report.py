@@ -114,7 +114,7 @@ def normalize(df: DataFrame, step: str, source: str, datasets: Sequence[str], or
     generic = label.isin("Best advanced ensemble", "Gatekeeper") & given(model)
 
     def metric(name):
-        return (F.col(name) if name in df.columns else F.lit(None)).cast("double").alias(name)
+        return (F.col(name) if name in df.columns else F.lit(None)).try_cast("double").alias(name)
 
     return df.filter(F.col("Dataset").isin(*datasets)).select(
         F.col("Dataset"),

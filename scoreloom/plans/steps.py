@@ -11,11 +11,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.operators import ensemble, featurize, metrics, models, rank, resample, score, search, split
+from scoreloom.operators import ensemble, featurize, metrics, models, rank, report, resample, score, search, split
 from scoreloom.session import stored
+from scoreloom.sources import delimited
 
 
 @dataclass(frozen=True)
@@ -35,23 +36,33 @@ class Experiment:
         return f"{self.dataset}/{self.name}"
 
 
+# Where a step trains and where it measures.
+SELECT_ON: Mapping[str, tuple[str, str]] = {"test": ("train", "test"), "valid": ("fit", "valid")}
+
+
 def prepare(
-    rows: DataFrame, families: Sequence[featurize.Family], test_size: float = 0.2, seed: int = 42
+    rows: DataFrame, families: Sequence[featurize.Family], test_size: float = 0.2, valid_size: float = 0.25, seed: int = 42
 ) -> DataFrame:
-    """Rows valid in every family with their split and fold, written once."""
+    """Rows valid in every family with their split, inner split and fold, written once."""
     valid = rows.filter(F.col(families[0].name).isNotNull())
     marked = split.stratified(valid, test_size=test_size, seed=seed)
-    return stored(split.kfold(marked, seed=seed, dataset=("dataset", "split")), "prepared")
+    within = ("dataset", "split")
+    inner = split.nested(marked, valid_size, seed, dataset=within)
+    return stored(split.kfold(inner, seed=seed, dataset=within), "prepared")
 
 
 def assembled(rows: DataFrame, families: Sequence[featurize.Family]) -> DataFrame:
     """Model input over `families`, written once for the many passes of a fit."""
     wide = featurize.assemble(rows, families)
-    return stored(wide.select("dataset", "row_id", "target", "split", "fold", "features"), "assembled")
+    return stored(wide.select("dataset", "row_id", "target", "split", "inner", "fold", "features"), "assembled")
 
 
 def part(rows: DataFrame, dataset: str, which: str) -> DataFrame:
-    return rows.filter((F.col("dataset") == dataset) & (F.col("split") == which))
+    """`train` or `test` rows of a dataset, or the `fit` or `valid` rows inside its training part."""
+    own = rows.filter(F.col("dataset") == dataset)
+    if which in ("fit", "valid"):
+        return own.filter((F.col("split") == "train") & (F.col("inner") == which))
+    return own.filter(F.col("split") == which)
 
 
 def run(
@@ -77,15 +88,17 @@ def run(
 def ablation(
     rows: DataFrame, families: Sequence[featurize.Family], datasets: Sequence[str],
     sets: Sequence[str] | None = None, params: Mapping[str, object] | None = None, seed: int = 42,
+    select_on: str = "test",
 ) -> DataFrame:
     """One forest per dataset and feature set."""
+    learn, measure = SELECT_ON[select_on]
     experiments = []
     for name in sets or featurize.available_sets(families):
         chosen = featurize.select_families(families, name)
         ready = assembled(rows, chosen)
         experiments += [
             Experiment(
-                name, d, lambda d=d, r=ready: part(r, d, "train"), lambda d=d, r=ready: part(r, d, "test"),
+                name, d, lambda d=d, r=ready: part(r, d, learn), lambda d=d, r=ready: part(r, d, measure),
                 params=params or {}, meta={"FeatureSet": name, "FeatureCount": str(sum(f.size for f in chosen))},
             )
             for d in datasets
@@ -95,12 +108,12 @@ def ablation(
 
 def feature_ranking(
     rows: DataFrame, families: Sequence[featurize.Family], dataset: str, method: str, k: int,
-    params: Mapping[str, object] | None = None, seed: int = 42, ready: DataFrame | None = None,
+    params: Mapping[str, object] | None = None, seed: int = 42, ready: DataFrame | None = None, learn: str = "train",
 ) -> list[int]:
     """Indices of the k best features by training rows; at most one entry per feature."""
-    train = part(rows, dataset, "train")
+    train = part(rows, dataset, learn)
     if method == "RF_importance":
-        source = part(ready if ready is not None else assembled(rows, families), dataset, "train")
+        source = part(ready if ready is not None else assembled(rows, families), dataset, learn)
         importances = models.fit("RandomForest", source, params, seed).model.featureImportances.toArray()
         return sorted(range(len(importances)), key=lambda i: (-importances[i], i))[:k]
     cells = featurize.sparse_cells(train, families, ["dataset", "target"]).filter(F.col("x") != 0)
@@ -124,15 +137,16 @@ def feature_ranking(
 
 def selection_grid(
     rows: DataFrame, families: Sequence[featurize.Family], datasets: Sequence[str], methods: Sequence[str],
-    ks: Sequence[int], params: Mapping[str, object] | None = None, seed: int = 42,
+    ks: Sequence[int], params: Mapping[str, object] | None = None, seed: int = 42, select_on: str = "test",
 ) -> DataFrame:
     """One forest per dataset, method and k over the selected features."""
+    learn, measure = SELECT_ON[select_on]
     ready = assembled(rows, families)
     width = sum(f.size for f in families)
     experiments = []
     for d in datasets:
         for method in methods:
-            order = feature_ranking(rows, families, d, method, min(max(ks), width), params, seed, ready)
+            order = feature_ranking(rows, families, d, method, min(max(ks), width), params, seed, ready, learn)
             for k in ks:
                 chosen = order[: min(k, width)]
                 slicer = VectorSlicer(inputCol="features", outputCol="_cut", indices=chosen)
@@ -144,7 +158,7 @@ def selection_grid(
                 label = f"{method}_top{len(chosen)}"
                 experiments.append(
                     Experiment(
-                        label, d, lambda cut=cut: cut("train"), lambda cut=cut: cut("test"), params=params or {},
+                        label, d, lambda cut=cut: cut(learn), lambda cut=cut: cut(measure), params=params or {},
                         meta={"SelectionMethod": method, "K": str(len(chosen)), "RequestedK": str(k), "SelectionLabel": label},
                     )
                 )
@@ -154,10 +168,12 @@ def selection_grid(
 def model_comparison(
     ready: DataFrame, datasets: Sequence[str], names: Sequence[str] = tuple(models.PROFILES),
     params: Mapping[str, Mapping[str, object]] | None = None, seed: int = 42, parallelism: int = 4,
+    select_on: str = "test",
 ) -> tuple[DataFrame, list[tuple[str, str, str]]]:
     """Every named classifier on every dataset; rows of the carried-forward forest are marked."""
+    learn, measure = SELECT_ON[select_on]
     experiments = [
-        Experiment(n, d, lambda d=d: part(ready, d, "train"), lambda d=d: part(ready, d, "test"), n, (params or {}).get(n, {}))
+        Experiment(n, d, lambda d=d: part(ready, d, learn), lambda d=d: part(ready, d, measure), n, (params or {}).get(n, {}))
         for d in datasets
         for n in names
     ]
@@ -168,22 +184,24 @@ def model_comparison(
 
 def resampling(
     ready: DataFrame, datasets: Sequence[str], scenarios=resample.SCENARIOS,
-    params: Mapping[str, object] | None = None, seed: int = 42,
+    params: Mapping[str, object] | None = None, seed: int = 42, select_on: str = "test",
 ) -> DataFrame:
     """A forest per dataset and scenario; only training rows are resampled."""
+    learn, measure = SELECT_ON[select_on]
     experiments = []
     for d in datasets:
         for name, ratio, method in scenarios:
             experiments.append(
                 Experiment(
                     name, d,
-                    lambda d=d, r=ratio, m=method: stored(resample.to_ratio(part(ready, d, "train"), r, m, seed=seed), "resampled"),
-                    lambda d=d: part(ready, d, "test"), params=params or {},
+                    lambda d=d, r=ratio, m=method: stored(resample.to_ratio(part(ready, d, learn), r, m, seed=seed), "resampled"),
+                    lambda d=d: part(ready, d, measure), params=params or {},
                     meta={"SamplingScenario": name, "SamplingMethod": method, "SamplingRatio": str(ratio)},
                 )
             )
     table = run(experiments, "06_resampling", seed)[0]
-    counts = resample.scenario_counts(ready.filter("split = 'train'")).withColumnRenamed("dataset", "Dataset")
+    learned = ready.filter("split = 'train'" if learn == "train" else "split = 'train' and inner = 'fit'")
+    counts = resample.scenario_counts(learned).withColumnRenamed("dataset", "Dataset")
     counts = counts.drop("SamplingMethod", "SamplingRatio")
     return table.join(counts, ["Dataset", "SamplingScenario"])
 
@@ -226,16 +244,13 @@ def view_scores(
     ratio: float = 1.0, method: str = "none", params: Mapping[str, object] | None = None, seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
     """(validation, test) scores per feature set: an inner fit for validation, a full fit for test."""
-    inner = split.nested(rows.filter("split = 'train'"), seed=seed).select("dataset", "row_id", "inner")
     jobs = []
     for name in sets:
         ready = assembled(rows, featurize.select_families(families, name))
-        tagged = stored(ready.join(inner, ["dataset", "row_id"], "left"), "inner")
         for d in datasets:
-            train, test = part(tagged, d, "train"), part(tagged, d, "test")
-            fit = resample.to_ratio(train.filter("inner = 'fit'"), ratio, method, seed=seed)
-            full = resample.to_ratio(train, ratio, method, seed=seed)
-            held = train.filter("inner = 'valid'")
+            fit = resample.to_ratio(part(ready, d, "fit"), ratio, method, seed=seed)
+            full = resample.to_ratio(part(ready, d, "train"), ratio, method, seed=seed)
+            held, test = part(ready, d, "valid"), part(ready, d, "test")
             jobs.append((f"{d}/valid/{name}", lambda f=fit, h=held: models.fit_predict("RandomForest", f, h, params, seed)))
             jobs.append((f"{d}/test/{name}", lambda f=full, t=test: models.fit_predict("RandomForest", f, t, params, seed)))
     scores, status = models.sweep(jobs)
@@ -270,7 +285,6 @@ def ensembles(
     valid, tested = view_scores(rows, families, [dataset], list(dict.fromkeys([*names, *views])), ratio, method, forest, seed)
     preferred = [v for v in views if v in featurize.available_sets(families)]
     linear, _ = ensemble.multiview_linear(valid, tested, preferred, seed=seed)
-    candidates = [v for v in names]
     tables = {
         ("Gatekeeper", "Gatekeeper"): single.filter("experiment = 'gatekeeper_rf'"),
         ("SameFeatureAdvanced", "Voting_With_Gatekeeper"): ensemble.soft_vote(single, "experiment", weights, []),
@@ -282,7 +296,7 @@ def ensembles(
             train, test, rest, "RandomForest", {**(forest or {}), "trees": trees}, passthrough=True, seed=seed
         ),
         ("FeatureSetEnsemble", "Top4_FeatureSet_EqualWeight"): ensemble.top_k_views(
-            valid.filter(F.col("FeatureSet").isin(candidates)), tested, keep=keep
+            valid.filter(F.col("FeatureSet").isin(list(names))), tested, keep=keep
         ),
         ("MultiView", "MultiView_EqualWeight"): ensemble.multiview_equal(tested, preferred),
         ("MultiView", "MultiView_LinearMeta"): linear,
@@ -300,3 +314,32 @@ def ensembles(
 def best_rows(table: DataFrame, tie: str) -> DataFrame:
     """The best metric row per dataset."""
     return rank.best_per_group(table, ["Dataset"], "ROC", tie)
+
+
+def collect(
+    spark: SparkSession, sources: Mapping[str, Sequence[str]], datasets: Sequence[str], baseline: str = "morgan",
+    tie: str = "CandidateLabel",
+) -> dict[str, DataFrame]:
+    """Read every step's result table and report candidates, progression and the final choice.
+
+    `sources` maps a step to its alternatives in order of preference; a step
+    without a readable table is reported as missing and left out.
+    """
+    found, read = delimited.first_available(spark, sources)
+    used = {r.Step: r.SourceUsed for r in read.collect()}
+    tables = [report.normalize(table, step, used[step], datasets) for step, table in found.items()]
+    tables = [t for t in tables if t is not None]
+    if not tables:
+        raise RuntimeError("no candidate results were found")
+    candidates = stored(report.union_results(tables), "candidates")
+    lifted = stored(report.baseline_lift(candidates, baseline, ordinal=tie), "baseline")
+    every = lifted.unionByName(candidates)
+    selected = report.progression(every, tie)
+    final = report.final_candidate(selected)
+    return {
+        "source_report": read,
+        "candidates": every.orderBy("Dataset", F.col("ROC").desc()),
+        "progression": report.progression_deltas(selected).orderBy("Dataset", "StepOrder"),
+        "final": final,
+        "baseline_vs_final": report.baseline_vs_final(lifted, final),
+    }

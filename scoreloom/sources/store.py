@@ -58,3 +58,8 @@ def read_results(spark: SparkSession, path: str, step: str | None = None) -> Dat
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """(dataset, experiment, row_id, target, score, prediction) per scored row."""
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(path)
+
+
+def write_model(scorer, path: str) -> None:
+    """Save the fitted Spark model behind a scorer."""
+    scorer.model.write().overwrite().save(path)

@@ -77,3 +77,16 @@ def test_search(spark, parts):
     assert sorted(r.cv_rank for r in folds) == [1, 2] and all(0.5 < r.mean_roc <= 1 for r in folds)
     ranked = search.evaluate_candidates(train, test, candidates).orderBy("CandidateRank").collect()
     assert ranked[0].Test_ROC >= ranked[1].Test_ROC
+
+
+def test_saved_model_scores_the_same(parts, tmp_path):
+    from pyspark.ml.classification import DecisionTreeClassificationModel
+
+    from scoreloom.sources.store import write_model
+
+    train, test = parts
+    scorer = models.fit("DecisionTree", train)
+    write_model(scorer, str(tmp_path / "tree"))
+    back = DecisionTreeClassificationModel.load(str(tmp_path / "tree"))
+    again = {r.row_id: r.prediction for r in back.transform(test).select("row_id", "prediction").collect()}
+    assert again == {r.row_id: float(r.prediction) for r in scorer(test).collect()}
