@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions.hashing import order_key  # noqa: F401
 from scoreloom.functions.numeric import threshold
 from scoreloom.functions.text import DESCRIPTOR_NAMES, has_token
 from scoreloom.operators import featurize, split

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from scoreloom.catalog import common as C
 from scoreloom.catalog import sql as S
 from scoreloom.catalog.registry import query
+from scoreloom.functions.hashing import order_key
 from scoreloom.operators import bayes, featurize, metrics, neighbors, rank, report, resample, score, split
+from scoreloom.session import stored
 from scoreloom.sources.tables import labelled_vectors
 
-_WIDTH = sum(f.size for f in C.FAMILIES)
-
 _CELLS = (
     "cells AS (SELECT t.dataset, t.target, c.idx, c.x FROM train t JOIN doc_cells c ON c.row_id = t.row_id AND t.dataset <> 'events' WHERE c.x <> 0),\n"
     "classes AS (SELECT dataset, target, n::DOUBLE AS n FROM train_counts WHERE dataset <> 'events'),\n"
@@ -83,7 +83,7 @@ def mutual_info_binned(spark, sf):
 )
 def feature_topk(spark, sf):
     cells, classes = _cells(spark, sf)
-    moments = score.class_moments(cells, classes)
+    moments = stored(score.class_moments(cells, classes), "moments")
     both = (
         score.anova_f(moments).withColumn("method", F.lit("ANOVA"))
         .unionByName(score.chi2(moments).withColumn("method", F.lit("Chi2")))
@@ -180,7 +180,7 @@ def family_comparison(spark, sf):
 def knn_classify(spark, sf):
     """All vectors: about a fifth of them asked against the others."""
     rows = labelled_vectors(spark, sf).withColumn(
-        "asked", F.substring(C.order_key(42, "knn", "row_id"), 1, 1).isin("0", "1", "2")
+        "asked", F.substring(order_key(42, "knn", "row_id"), 1, 1).isin("0", "1", "2")
     )
     found = neighbors.knn_classify(rows.filter(~F.col("asked")), rows.filter("asked"), 7)
     return C.rounded(found, "score")

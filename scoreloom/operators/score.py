@@ -30,12 +30,14 @@ def class_moments(
         F.min("x").alias("_min"),
         F.max("x").alias("_max"),
     )
-    features = seen.select(*keys).distinct()
-    grid = features.join(class_rows, list(dataset))
+    # One row per feature with its classes in a map, so the cells are aggregated once.
+    measures = F.struct("_k", "_avg", "_var", "total", "_min", "_max")
+    per_feature = seen.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(label, measures))).alias("_by"))
+    grid = per_feature.join(class_rows, list(dataset)).withColumn("_c", F.try_element_at("_by", F.col(label)))
     zeros = F.col("rows") - F.coalesce("_k", F.lit(0))
     k, avg = F.coalesce("_k", F.lit(0)), F.coalesce("_avg", F.lit(0.0))
     return (
-        grid.join(seen, [*keys, label], "left")
+        grid.select(*keys, label, "rows", "_c.*")
         .select(
             *keys,
             label,
@@ -95,11 +97,10 @@ def chi2(moments: DataFrame, dataset: Sequence[str] = ("dataset",)) -> DataFrame
     observed = F.when(F.col("_floor") >= 0, F.col("total")).otherwise(
         F.coalesce(F.try_divide(F.col("total") - F.col("rows") * F.col("_low"), spread), F.lit(0.0))
     )
-    lowest = moments.groupBy(*dataset).agg(F.min("low").alias("_floor"))
     return (
         rows.withColumn("_low", F.min("low").over(feature))
         .withColumn("_high", F.max("high").over(feature))
-        .join(lowest, list(dataset))
+        .withColumn("_floor", F.min("low").over(Window.partitionBy(*dataset)))
         .withColumn("_obs", observed)
         .withColumn("_exp", F.col("rows") / F.col("_n") * F.sum("_obs").over(feature))
         .groupBy(*keys)
