@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import pii, quality_rules, url_filter
+from scoreloom.llm import packing, pii, quality_rules, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +25,31 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+#: The tokenizer's file and the id that ends a document.
+END_ID = 2
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query("op1_quality_rules")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judged(read(spark, sf, "documents"))
 
 
+@query("op3_token_store")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return token_store.read_back(token_store.write(read(spark, sf, "documents"), tokenizer(), END_ID))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.packed(read(spark, sf, "documents"), tokenizer(), END_ID)
+
+
 #: The rules to judge by.
 URL_RULES = (
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
