@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import packing, pii, quality_rules, token_store, url_filter
+from scoreloom.llm import fingerprints, packing, pii, quality_rules, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(read(spark, sf, "documents"), tokenizer(), END_ID)
 
 
+@query("op6_multiset_hash")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compared(read(spark, sf, "documents"))
+
+
 #: The rules to judge by.
 URL_RULES = (
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
