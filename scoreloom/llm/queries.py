@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import fingerprints, packing, pii, quality_rules, token_store, url_filter
+from scoreloom.llm import fingerprints, mixing, packing, pii, quality_rules, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,45 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compared(read(spark, sf, "documents"))
 
 
+@query(
+    "op8_source_mix",
+    """
+    WITH RECURSIVE rows AS (
+      SELECT doc_id, source, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key,
+             len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+      FROM documents
+    ), sources AS (
+      SELECT source, sum(size)::BIGINT AS source_size,
+             ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight
+      FROM rows GROUP BY source
+    ), shares AS (
+      SELECT source, source_size, weight, 3 * source_size AS cap,
+             (SELECT sum(source_size)::BIGINT FROM sources) AS whole FROM sources
+    ), levels AS (
+      SELECT *, (whole - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+                / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+             row_number() OVER o AS n
+      FROM shares WINDOW o AS (ORDER BY cap / weight, source NULLS FIRST)
+    ), goals AS (
+      SELECT source, source_size,
+             CASE WHEN cap <= level * weight THEN cap::DOUBLE
+                  ELSE (SELECT arg_min(level, n) FROM levels WHERE cap > level * weight) * weight END AS target
+      FROM levels
+    ), placed AS (
+      SELECT r.doc_id, r.size, g.source_size, g.target, floor(g.target)::BIGINT AS budget,
+             sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key, r.doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
+      FROM rows r JOIN goals g ON r.source IS NOT DISTINCT FROM g.source
+    )
+    SELECT doc_id, size, source_size, target,
+           CASE WHEN source_size = 0 THEN 0 ELSE
+             (budget // source_size) * size + greatest(0, least(size, budget % source_size - upto + size)) END AS taken
+    FROM placed
+    """,
+)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixed(read(spark, sf, "documents")).drop("source")
+
+
 #: The rules to judge by.
 URL_RULES = (
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
