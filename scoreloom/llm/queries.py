@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import fingerprints, mixing, packing, pii, quality_rules, token_store, url_filter
+from scoreloom.llm import fingerprints, mixing, packing, pii, quality_rules, simhash, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judged(read(spark, sf, "documents"))
 
 
+@query("op2_simhash")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.linked(read(spark, sf, "documents"))
+
+
 @query("op3_token_store")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return token_store.read_back(token_store.write(read(spark, sf, "documents"), tokenizer(), END_ID))
