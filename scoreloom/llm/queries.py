@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import fingerprints, mixing, packing, pii, quality_rules, simhash, token_store, url_filter
+from scoreloom.llm import fingerprints, licenses, mixing, packing, pii, quality_rules, simhash, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return token_store.read_back(token_store.write(read(spark, sf, "documents"), tokenizer(), END_ID))
 
 
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scanned(read(spark, sf, "documents"))
+
+
 @query("op5_packing")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(read(spark, sf, "documents"), tokenizer(), END_ID)
