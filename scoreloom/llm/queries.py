@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import fingerprints, licenses, mixing, packing, pii, quality_rules, simhash, token_store, url_filter
+from scoreloom.llm import fingerprints, hmm, licenses, mixing, packing, pii, quality_rules, simhash, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compared(read(spark, sf, "documents"))
 
 
+@query("op7_hidden_markov")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return hmm.scored(read(spark, sf, "documents"))
+
+
 @query(
     "op8_source_mix",
     """
