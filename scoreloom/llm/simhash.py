@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -240,14 +240,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(rows: DataFrame) -> DataFrame:
-    """Adds component_id, the smallest doc_id of the rows linked with each, to stored rows (doc_id, fp, ...)."""
+    """Adds root, a fingerprint for each component, and component_id, its smallest doc_id, to stored rows (doc_id, fp, ...)."""
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     found = components(stored(links(classes.select("fp")), "links"))
     roots = found.select(F.col("node").alias("fp"), "root")
     near = stored(classes.join(roots, "fp").select("fp", "root", "least"), "near")
     least = near.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(near.join(least, "root").select("fp", "component_id"), "named")
-    whole = classes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    named = stored(near.join(least, "root").select("fp", "root", "component_id"), "named")
+    whole = classes.join(named, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")
+    )
     return rows.join(stored(whole, "components"), "fp")
 
 
@@ -268,16 +270,17 @@ def linked(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each component, that with its smallest doc_id, with all its columns and nothing else.
 
-    Of repeated rows with that id one stays. Texts without words are one component. Rows with null ids stay only where
-    no other row of their component has an id. Texts are not shuffled for it: only fingerprints are.
+    Of several rows with that id that with the smallest hash of its text stays, and of repeated ones any. Texts without
+    words are one component. Rows with null ids stay only where no other row of their component has an id. Texts are
+    shuffled once, by id, to be joined with those that stay.
     """
-    place = F.monotonically_increasing_id()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), place.alias("place"))
-    rows = stored(rows.select("doc_id", "place", _fingerprints("text").alias("fp")), "fingerprints")
-    found = grouped(rows)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "place"))
-    key = F.when(F.col("component_id").isNull(), F.col("fp"))
-    best = found.groupBy("component_id", key.alias("key")).agg(first.alias("best"))
-    mark = fresh(docs, "place")
-    kept = stored(best.select(F.col("best.place").alias(mark)), "kept")
-    return docs.withColumn(mark, place).join(kept, mark, "left_semi").select(*[name(c) for c in docs.columns])
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    id_, hash_ = F.coalesce(doc_id, F.lit(-1 << 63)), F.xxhash64(text)
+    rows = stored(docs.select(doc_id.alias("doc_id"), id_.alias("id"), hash_.alias("hash"), _fingerprints(text).alias("fp")), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id", "hash"))
+    best = grouped(rows).groupBy("root").agg(first.alias("best"))
+    mark, hash_mark, row = (fresh(docs, c) for c in ("mark_id", "mark_hash", "mark_row"))
+    kept = stored(best.select(F.col("best.id").alias(mark), F.col("best.hash").alias(hash_mark)), "kept")
+    marked = docs.withColumns({mark: id_, hash_mark: hash_}).join(kept, [mark, hash_mark], "left_semi")
+    one = Window.partitionBy(mark, hash_mark).orderBy(mark, hash_mark)
+    return marked.withColumn(row, F.row_number().over(one)).filter(name(row) == 1).select(*[name(c) for c in docs.columns])
