@@ -28,23 +28,15 @@ CHECK_PARAMS = {
 }
 
 
-_STORES: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark, sf, name, make):
-    """The feature store is built once per application and read by every later step."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _STORES:
-        _STORES[key] = make()
-    return _STORES[key]
+SPACE = {**search.FOREST_SPACE, "n_estimators": (SMALL["trees"],), "max_depth": (SMALL["depth"],)}
 
 
 def _rows(spark, sf):
-    return _once(spark, sf, "rows", lambda: steps.prepare(C.labelled(spark, sf, "keys", "desc"), FAMILIES))
+    return steps.prepare(C.labelled(spark, sf, "keys", "desc"), FAMILIES)
 
 
 def _ready(spark, sf):
-    return _once(spark, sf, "ready", lambda: steps.assembled(_rows(spark, sf), FAMILIES))
+    return steps.assembled(_rows(spark, sf), FAMILIES)
 
 
 def _one(name):
@@ -112,14 +104,14 @@ def resampling_sweep(spark, sf):
 @query("cv_search")
 def cv_search(spark, sf):
     train = steps.part(_ready(spark, sf), "quality", "train")
-    sampled = search.parameter_rows(search.sample_params(spark, 3))
-    candidates = [{**search.forest_params(r), **SMALL} for r in sampled]
+    sampled = search.parameter_rows(search.sample_params(spark, 3, space=SPACE))
+    candidates = [search.forest_params(r) for r in sampled]
     return search.cross_validate(train, candidates, ratio=1.0, method="oversampling")
 
 
 @query("candidate_test_eval")
 def candidate_test_eval(spark, sf):
-    return steps.tuning(_ready(spark, sf), "quality", 1.0, "oversampling", n=3, limits=SMALL)
+    return steps.tuning(_ready(spark, sf), "quality", 1.0, "oversampling", n=3, space=SPACE)
 
 
 def _stacked(spark, sf, meta, params, passthrough, gatekeeper):
@@ -147,3 +139,22 @@ def multiview_linear(spark, sf):
     scored, weights = ensemble.multiview_linear(valid, tested, views)
     table = metrics.metric_rows(scored.withColumn("dataset", F.lit("quality")), ["dataset"])
     return table.withColumn("Weights", F.lit(str(weights)))
+
+
+@query(
+    "sweep_status",
+    """
+    SELECT candidate, CASE WHEN candidate = 1 THEN 'FAILED' ELSE 'OK' END AS "Status", candidate <> 1 AS measured,
+           CASE WHEN candidate = 1 THEN 3 ELSE 1 END <= 2 AS ranked_before_failed
+    FROM (SELECT unnest([0, 1, 2]) AS candidate) WHERE (SELECT count(*) FROM labels) > 0
+    """,
+)
+def sweep_status(spark, sf):
+    """Three settings of which one cannot be fitted: it has a row, no metrics and the last rank."""
+    ready = _ready(spark, sf)
+    train, test = steps.part(ready, "quality", "train"), steps.part(ready, "quality", "test")
+    candidates = [SMALL, {**SMALL, "max_features": "no such rule"}, {**SMALL, "criterion": "entropy"}]
+    table = search.evaluate_candidates(train, test, candidates)
+    return table.select(
+        "candidate", "Status", F.col("Test_ROC").isNotNull().alias("measured"), (F.col("CandidateRank") <= 2).alias("ranked_before_failed")
+    )

@@ -125,7 +125,7 @@ def collected_progression(spark, sf):
     for step, rows in _step_tables(_measured(spark, sf)).items():
         rows.write.parquet(f"{base}/{step}")
         sources[step] = [f"{base}/absent.csv", f"{base}/{step}"]
-    out = steps.collect(spark, sources, DATASETS)["progression"]
+    out = steps.collect(spark, sources, DATASETS, tie=TIE)["progression"]
     out = out.withColumn("SourceFile", F.substring_index("SourceFile", "/", -1))
     return C.rounded(out, *_DELTAS)
 
@@ -190,7 +190,7 @@ def baseline_vs_final(spark, sf):
     _SQL + ", prev AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY \"Dataset\" ORDER BY \"ROC\" DESC, \"CandidateLabel\") AS place FROM cand WHERE \"Step\" = '03_feature_ablation') WHERE place = 1)\n"
     'SELECT c."Dataset", c."ModelName", c."ROC", c."AP", c."F1", \'model search\' AS "CurrentStep", \'feature ablation\' AS "ComparedWith", '
     + ", ".join(f'p."{m}" AS "Previous_{m}", ' + _gain_sql(f'c."{m}"', f'p."{m}"', m, "_Delta", "_Gain_%") for m in report.COMPARED)
-    + " FROM cand c JOIN prev p ON p.\"Dataset\" = c.\"Dataset\" WHERE c.\"Step\" = '05_model_search'",
+    + " FROM cand c LEFT JOIN prev p ON p.\"Dataset\" = c.\"Dataset\" WHERE c.\"Step\" = '05_model_search'",
 )
 def gain_vs_previous(spark, sf):
     candidates = _candidates(spark, sf)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from scoreloom.functions.numeric import to_class
 from scoreloom.session import bounded_side, materialise
 
-EXACT_ROWS = 20_000_000
+#: Values between the brackets of a group that are ordered at last, counted by distinct value.
+BRACKETED_ROWS = 2_000_000
 
 
 def coerce_target(df: DataFrame, raw: str, out: str = "target") -> DataFrame:
@@ -74,29 +75,25 @@ def to_cells(df: DataFrame, values: str, keep: Sequence[str]) -> DataFrame:
     return df.select(*keep, F.posexplode(values).alias("idx", "x"))
 
 
-def exact_median(cells: DataFrame, group: Sequence[str], exact_rows: int = EXACT_ROWS) -> DataFrame:
+def exact_median(cells: DataFrame, group: Sequence[str], bracketed: int = BRACKETED_ROWS) -> DataFrame:
     """Exact median of `x` per group (mean of the two middle values), nulls ignored.
 
-    Small inputs use the built-in median, which keeps all distinct values of a
-    group in one task. Larger ones first bracket the middle by approximate
-    quantiles with a guaranteed rank error; only values inside the bracket,
-    counted per distinct value, are ordered. The bracket is narrowed until what
-    lies inside is small.
+    The middle of each group is bracketed by approximate quantiles with a
+    guaranteed rank error, and the bracket narrowed until at most `bracketed`
+    values, or one repeated value, lie inside; only these are ordered, counted
+    per distinct value.
     """
     group = list(group)
     cells = cells.filter(F.col("x").isNotNull()).select(*group, "x")
-    if cells.limit(exact_rows + 1).count() <= exact_rows:
-        return cells.groupBy(*group).agg(F.median("x").alias("median"))
-
     state = bounded_side(
         cells.groupBy(*group).agg(
             F.count(F.lit(1)).alias("_n"), F.min("x").alias("_lo"), F.max("x").alias("_hi")
         ).withColumn("_below", F.lit(0).cast("bigint")).withColumn("_in", F.col("_n")),
         max_rows=100_000,
     )
-    for _ in range(6):
-        if (state.agg(F.max("_in")).first()[0] or 0) <= exact_rows // 10:
-            break
+    last = None
+    while (most := state.agg(F.max("_in")).first()[0] or 0) > bracketed and most != last:
+        last = most
         inside = cells.join(state, group).filter((F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi")))
         grid = [i / 200 for i in range(201)]
         marks = bounded_side(
@@ -124,8 +121,8 @@ def exact_median(cells: DataFrame, group: Sequence[str], exact_rows: int = EXACT
         )
         run = Window.partitionBy(*group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
         ranked = counted.withColumn("_upto", F.col("_b") + F.sum("_c").over(run))
-        first, last = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
-        hit = ranked.filter((F.col("_upto") >= first) & (F.col("_upto") - F.col("_c") < last))
+        lower, upper = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+        hit = ranked.filter((F.col("_upto") >= lower) & (F.col("_upto") - F.col("_c") < upper))
         narrowed = hit.groupBy(*group).agg(
             F.first("_n").alias("_n"),
             F.min("_min").alias("_lo"),
@@ -150,12 +147,12 @@ def exact_median(cells: DataFrame, group: Sequence[str], exact_rows: int = EXACT
 
 
 def fit_median(
-    train: DataFrame, values: str, dataset: Sequence[str] = ("dataset",), exact_rows: int = EXACT_ROWS
+    train: DataFrame, values: str, dataset: Sequence[str] = ("dataset",), bracketed: int = BRACKETED_ROWS
 ) -> DataFrame:
     """(dataset, medians array) over training rows; an all-null feature has a null entry."""
     dataset = list(dataset)
     cells = to_cells(train, values, dataset)
-    medians = exact_median(cells, [*dataset, "idx"], exact_rows)
+    medians = exact_median(cells, [*dataset, "idx"], bracketed)
     widths = train.groupBy(*dataset).agg(F.max(F.size(values)).alias("_width"))
     known = medians.groupBy(*dataset).agg(F.map_from_entries(F.collect_list(F.struct("idx", "median"))).alias("_m"))
     return widths.join(known, dataset, "left").select(

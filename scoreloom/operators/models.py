@@ -34,7 +34,7 @@ from scoreloom.session import materialise
 
 SCORED = ("row_id", "target", "score", "prediction")
 MAX_DEPTH = 30  # deepest tree Spark grows
-PARTITION_BYTES = 32 * 1024 * 1024
+FIT_PARTITIONS = 8  # partitions of the training rows, by a hash of their id
 
 
 @dataclass(frozen=True)
@@ -293,26 +293,26 @@ PROFILES: Mapping[str, Profile] = {
 }
 
 
-def compact(cached: DataFrame, column: str = "features") -> DataFrame:
-    """Cached training rows in partitions of about PARTITION_BYTES; never more than there are.
+def settled(train: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Training rows dealt by a hash of their id and ordered within each partition.
 
-    A small training set in many partitions pays task overhead at every tree
-    level and gradient step.
+    Learners draw by partition, so a fit depends on this layout; it follows from the rows and `partitions` alone,
+    however the rows are stored. Raise `partitions` with the training set.
     """
-    rows = cached.count()
-    if not rows:
-        raise ValueError("no training rows")
-    vector = cached.select(column).first()[0]
-    width = 12 * len(vector.indices) if hasattr(vector, "indices") else 8 * len(vector)
-    return cached.coalesce(1 + rows * max(width, 8) // PARTITION_BYTES)
+    order = [c for c in ("row_id", "copy_no") if c in train.columns]
+    return train.repartition(partitions, "row_id").sortWithinPartitions(*order)
 
 
-def fit(name: str, train: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42):
+def fit(
+    name: str, train: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42, partitions: int = FIT_PARTITIONS
+):
     """Fit a named classifier; the result maps rows to scored rows."""
     profile = PROFILES[name]
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = settled(train, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return profile.fit(compact(cached), seed, **{**profile.params, **(params or {})})
+        if cached.isEmpty():
+            raise ValueError("no training rows")
+        return profile.fit(cached, seed, **{**profile.params, **(params or {})})
     finally:
         cached.unpersist()
 

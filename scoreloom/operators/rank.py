@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from scoreloom.functions.hashing import order_key
 from scoreloom.session import bounded_side, materialise
 
 PREFIX_DIGITS = 4  # 16**4 key prefixes per group
-WINDOW_ROWS = 1_000_000  # (key, id) pairs one task may order
 
 
 def exact_rank(
@@ -46,42 +46,35 @@ def assign_segments(
     takes: Callable[[DataFrame], DataFrame],
     out: str = "segment",
     digits: int = PREFIX_DIGITS,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """Cut every stratum (columns without nulls), in seeded order, into consecutive segments of exact size.
+    """Cut every stratum, in seeded order, into consecutive segments of exact size.
 
     `takes` maps (strata..., n) to (strata..., segment, take): `take` rows of
-    the stratum lie in segments 0..segment. The cuts are found first: strata of
-    up to `window_rows` rows are ordered as they are; for larger ones only
+    the stratum lie in segments 0..segment. The cuts are found first: only
     prefix counts and the rows of the few prefixes that hold a cut are shuffled.
     The data itself never moves, each row is compared with the cuts of its stratum.
+    A row with a null in a stratum column is an error: it is in no stratum.
     """
     strata = list(strata)
     key = order_key(seed, purpose, row_id)
     keyed = df.select(*strata, F.col(row_id).alias("_row"), key.alias("_key"))
     totals = bounded_side(keyed.groupBy(*strata).agg(F.count(F.lit(1)).alias("n")))
     wanted = takes(totals).select(*strata, F.col("take").cast("bigint").alias("_rank"))
-    if (totals.agg(F.max("n")).first()[0] or 0) <= window_rows:
-        order = Window.partitionBy(*strata).orderBy("_key", "_row")
-        placed = keyed.withColumn("_rank", F.row_number().over(order).cast("bigint"))
-    else:
-        prefixed = keyed.withColumn("_prefix", F.substring("_key", 1, digits))
-        running = Window.partitionBy(*strata).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-        ladder = (
-            prefixed.groupBy(*strata, "_prefix")
-            .agg(F.count(F.lit(1)).alias("_size"))
-            .withColumn("_upto", F.sum("_size").over(running))
-        )
-        edges = bounded_side(
-            wanted.join(ladder, strata)
-            .filter((F.col("_rank") > F.col("_upto") - F.col("_size")) & (F.col("_rank") <= F.col("_upto")))
-            .select(*strata, "_prefix", (F.col("_upto") - F.col("_size")).alias("_before"))
-            .distinct()
-        )
-        order = Window.partitionBy(*strata, "_prefix").orderBy("_key", "_row")
-        placed = prefixed.join(edges, [*strata, "_prefix"]).withColumn(
-            "_rank", F.col("_before") + F.row_number().over(order)
-        )
+    prefixed = keyed.withColumn("_prefix", F.substring("_key", 1, digits))
+    running = Window.partitionBy(*strata).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    ladder = (
+        prefixed.groupBy(*strata, "_prefix")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .withColumn("_upto", F.sum("_size").over(running))
+    )
+    edges = bounded_side(
+        wanted.join(ladder, strata)
+        .filter((F.col("_rank") > F.col("_upto") - F.col("_size")) & (F.col("_rank") <= F.col("_upto")))
+        .select(*strata, "_prefix", (F.col("_upto") - F.col("_size")).alias("_before"))
+        .distinct()
+    )
+    order = Window.partitionBy(*strata, "_prefix").orderBy("_key", "_row")
+    placed = prefixed.join(edges, [*strata, "_prefix"]).withColumn("_rank", F.col("_before") + F.row_number().over(order))
     found = placed.join(wanted, [*strata, "_rank"]).select(*strata, "_key", "_row")
     nothing = wanted.filter(F.col("_rank") == 0).select(
         *strata, F.lit("").alias("_key"), F.lit(None).cast(dict(keyed.dtypes)["_row"]).alias("_row")
@@ -90,25 +83,16 @@ def assign_segments(
         found.unionByName(nothing).groupBy(*strata).agg(F.collect_list(F.struct("_key", "_row")).alias("_cuts"))
     )
     mark = F.struct(F.col("_key"), F.col(row_id).alias("_row"))
+    nowhere = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in strata])
+    segment = F.coalesce(F.size(F.filter("_cuts", lambda c: c < mark)), F.lit(0))
     return (
         df.withColumn("_key", key)
         .join(cuts, strata, "left")
-        .withColumn(out, F.coalesce(F.size(F.filter("_cuts", lambda c: c < mark)), F.lit(0)))
+        .withColumn(out, F.when(nowhere, F.raise_error(F.lit(f"null in {strata}")).cast("int")).otherwise(segment))
         .drop("_key", "_cuts")
     )
 
 
-def take_first(df: DataFrame, strata: Sequence[str], row_id: str, seed: int, purpose: str, n: Column) -> DataFrame:
-    """The first `n` rows of each stratum in seeded order; `n` may use the count `n`."""
-    names = list(strata)
-    marked = assign_segments(
-        df, names, row_id, seed, purpose,
-        lambda totals: totals.select(*names, F.lit(0).alias("segment"), n.cast("bigint").alias("take")),
-        out="_segment",
-    )
-    return marked.filter(F.col("_segment") == 0).drop("_segment")
-
-
 def running_totals(
     df: DataFrame, group: Sequence[str], order: str, measures: Sequence[str], prefix: str = "cum_"
 ) -> DataFrame:

@@ -25,10 +25,8 @@ STEP_ORDER: Mapping[str, int] = {
 BASELINE_STEP = "02_rf_morgan_baseline"
 ABLATION_STEP = "03_feature_ablation"
 
-CANDIDATE_COLUMNS = (
-    "Dataset", "Step", "StepOrder", "CandidateLabel", "ModelName", "ModelFamily", "FeatureStrategy",
-    "SamplingScenario", "ROC", "AP", "F1", "BalancedAccuracy", "SourceFile",
-)
+#: Where a row stood in its result table; carried along if the table has it, to settle ties.
+INPUT_ORDER = "InputOrder"
 
 
 def union_results(tables: Sequence[DataFrame]) -> DataFrame:
@@ -42,14 +40,14 @@ def union_results(tables: Sequence[DataFrame]) -> DataFrame:
 def gain(
     current: DataFrame, previous: DataFrame, current_name: str, previous_name: str, ordinal: str | None = None
 ) -> DataFrame:
-    """Current rows beside the best previous row of their dataset, with deltas and gains."""
+    """Current rows beside the best previous row of their dataset, with deltas and gains; nulls where there is none."""
     best = best_per_group(previous, ["Dataset"], "ROC", ordinal).select(
         "Dataset", *[F.col(m).alias(f"Previous_{m}") for m in COMPARED]
     )
     out = (
         current.withColumn("CurrentStep", F.lit(current_name))
         .withColumn("ComparedWith", F.lit(previous_name))
-        .join(best, "Dataset")
+        .join(best, "Dataset", "left")
     )
     for m in COMPARED:
         now, before = F.col(m), F.col(f"Previous_{m}")
@@ -75,7 +73,7 @@ def reference_vs_best(
         best_per_group(candidates, ["Dataset"], "ROC", ordinal)
         .select(*keep)
         .withColumn("Comparison", F.lit(best_name))
-        .join(base, "Dataset")
+        .join(base, "Dataset", "left")
     )
     for m in COMPARED:
         now, before = F.col(m), F.col(f"_{m}")
@@ -127,6 +125,7 @@ def normalize(df: DataFrame, step: str, source: str, datasets: Sequence[str], or
         first_present(df, ["SamplingScenario"], "none").alias("SamplingScenario"),
         *[metric(m) for m in ("ROC", "AP", "F1", "BalancedAccuracy")],
         F.lit(source).alias("SourceFile"),
+        *[c for c in (INPUT_ORDER,) if c in df.columns],
     )
 
 
@@ -175,7 +174,7 @@ def progression_deltas(selected: DataFrame) -> DataFrame:
 
 
 def baseline_vs_final(baseline: DataFrame, final: DataFrame) -> DataFrame:
-    """Baseline and final candidate of each dataset side by side."""
+    """Baseline and final candidate of each dataset side by side; nulls where a dataset has only one of them."""
     left = baseline.select(
         "Dataset",
         F.col("Step").alias("BaselineStep"),
@@ -195,7 +194,7 @@ def baseline_vs_final(baseline: DataFrame, final: DataFrame) -> DataFrame:
         F.col("SamplingScenario").alias("FinalSamplingScenario"),
         *[F.col(m).alias(f"Final_{m}") for m in COMPARED],
     )
-    out = left.join(right, "Dataset")
+    out = left.join(right, "Dataset", "full")
     for m in COMPARED:
         now, before = F.col(f"Final_{m}"), F.col(f"Baseline_{m}")
         out = out.withColumn(f"{m}_Delta", now - before).withColumn(f"{m}_Gain_%", gain_percent(now, before))

@@ -33,17 +33,18 @@ def wanted_rows(label: Column, pos: Column, neg: Column, ratio: float, method: s
     """Rows of this class after resampling to `ratio` = positives / negatives."""
     r = F.lit(float(ratio))
     own = F.when(label == 1, pos).otherwise(neg)
-    short = pos / neg < r
+    short = F.coalesce(F.try_divide(pos, neg) < r, F.lit(False))
+    both = (pos > 0) & (neg > 0)  # a single class is left as it is
     if method == "none":
         return own.cast("bigint")
     if method == "oversampling":
         grown = F.when(short & (label == 1), F.ceil(r * neg)).when(~short & (label == 0), F.ceil(pos / r))
-        return F.coalesce(grown, own).cast("bigint")
+        return F.coalesce(F.when(both, grown), own).cast("bigint")
     if method == "undersampling":
         kept = F.when(short & (label == 0), F.least(neg, F.greatest(F.lit(5), F.floor(pos / r)))).when(
             ~short & (label == 1), F.least(pos, F.greatest(F.lit(5), F.floor(r * neg)))
         )
-        return F.coalesce(kept, own).cast("bigint")
+        return F.coalesce(F.when(both, kept), own).cast("bigint")
     raise ValueError(f"unknown resampling method: {method}")
 
 
@@ -136,13 +137,6 @@ def class_weights(counts: DataFrame, dataset: Sequence[str] = ("dataset",), labe
     return counts.select(*dataset, label, "rows", (n / (classes * F.col("rows"))).alias("weight"))
 
 
-def with_class_weights(
-    df: DataFrame, dataset: Sequence[str] = ("dataset",), label: str = "target", out: str = "weight"
-) -> DataFrame:
-    weights = bounded_side(class_weights(class_distribution(df, dataset, label), dataset, label).drop("rows"))
-    return df.join(weights.withColumnRenamed("weight", out), [*dataset, label])
-
-
 def scenario_counts(
     train: DataFrame, dataset: Sequence[str] = ("dataset",), label: str = "target"
 ) -> DataFrame:

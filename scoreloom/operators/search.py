@@ -93,7 +93,9 @@ def cross_validate(
     model: str = "RandomForest",
     parallelism: int = 4,
 ) -> DataFrame:
-    """(candidate, mean_roc, std_roc, cv_rank); `train` carries `fold` by source row.
+    """(candidate, Status, Error, mean_roc, std_roc, cv_rank) of every candidate; `train` carries `fold` by source row.
+
+    A candidate without a score in one of its folds has no mean, and ranks last.
 
     Resampling happens inside each fold's training part, so copies of a row
     never reach its validation part.
@@ -107,13 +109,22 @@ def cross_validate(
             jobs.append(
                 (f"{c}:{i}", lambda part=part, held=held, params=params: models.fit_predict(model, part, held, params, seed))
             )
-    predictions, _ = models.sweep(jobs, parallelism=parallelism)
+    predictions, status = models.sweep(jobs, parallelism=parallelism)
     for part in parts:
         part.unpersist()
+    if predictions is None:
+        raise RuntimeError(f"all fits failed: {status}")
     scores = roc_auc(predictions, ["experiment"]).withColumn(
         "candidate", F.split("experiment", ":").getItem(0).cast("int")
     )
-    table = scores.groupBy("candidate").agg(F.avg("ROC").alias("mean_roc"), F.stddev_pop("ROC").alias("std_roc"))
+    sums = scores.groupBy("candidate").agg(
+        F.count("ROC").alias("_folds"), F.avg("ROC").alias("mean_roc"), F.stddev_pop("ROC").alias("std_roc")
+    )
+    planned = _planned(train.sparkSession, len(candidates), [(int(name.split(":")[0]), *rest) for name, *rest in status])
+    whole = F.col("_folds") == k
+    table = planned.join(sums, "candidate", "left").withColumns(
+        {m: F.when(whole, F.col(m)) for m in ("mean_roc", "std_roc")}
+    ).drop("_folds")
     return candidate_rank(table.withColumn("_all", F.lit(1)), ["_all"], "mean_roc", "candidate", "cv_rank").drop("_all")
 
 
@@ -125,12 +136,14 @@ def evaluate_candidates(
     model: str = "RandomForest",
     parallelism: int = 4,
 ) -> DataFrame:
-    """Refit every candidate on the (resampled) training rows and rank by test ROC."""
+    """Refit every candidate on the (resampled) training rows and rank by test ROC; failed ones have a status and no metrics."""
     jobs = [
         (str(c), lambda params=params: models.fit_predict(model, train, test, params, seed))
         for c, params in enumerate(candidates)
     ]
-    predictions, _ = models.sweep(jobs, parallelism=parallelism)
+    predictions, status = models.sweep(jobs, parallelism=parallelism)
+    if predictions is None:
+        raise RuntimeError(f"all fits failed: {status}")
     rows = metric_rows(predictions, ["experiment"])
     rows = rows.select(
         F.col("experiment").cast("int").alias("candidate"),
@@ -139,10 +152,17 @@ def evaluate_candidates(
     texts = train.sparkSession.createDataFrame(
         [(c, json.dumps(dict(p), sort_keys=True)) for c, p in enumerate(candidates)], "candidate int, Params string"
     )
-    ranked = candidate_rank(
-        rows.join(F.broadcast(texts), "candidate").withColumn("_all", F.lit(1)), ["_all"], "Test_ROC", "candidate"
-    ).drop("_all")
-    return ranked
+    planned = _planned(train.sparkSession, len(candidates), [(int(name), *rest) for name, *rest in status])
+    table = planned.join(texts, "candidate").join(rows, "candidate", "left").withColumn("_all", F.lit(1))
+    return candidate_rank(table, ["_all"], "Test_ROC", "candidate").drop("_all")
+
+
+def _planned(spark: SparkSession, n: int, status: Sequence[tuple[int, str, str]]) -> DataFrame:
+    """(candidate, Status, Error) of every candidate: OK only if all its fits are."""
+    failed = {c: (state, message) for c, state, message in status if state != "OK"}
+    return spark.createDataFrame(
+        [(c, *failed.get(c, ("OK", ""))) for c in range(n)], "candidate int, Status string, Error string"
+    )
 
 
 def candidate_label(rank, trees, depth, leaf, features):

@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.operators import ensemble, featurize, metrics, models, rank, report, resample, score, search, split
+from scoreloom.operators import clean, ensemble, featurize, metrics, models, rank, report, resample, score, search, split
 from scoreloom.session import stored
 from scoreloom.sources import delimited
 
@@ -43,8 +43,11 @@ SELECT_ON: Mapping[str, tuple[str, str]] = {"test": ("train", "test"), "valid":
 def prepare(
     rows: DataFrame, families: Sequence[featurize.Family], test_size: float = 0.2, valid_size: float = 0.25, seed: int = 42
 ) -> DataFrame:
-    """Rows valid in every family with their split, inner split and fold, written once."""
-    valid = rows.filter(F.col(families[0].name).isNotNull())
+    """Labelled rows valid in every family with their split, inner split and fold, written once.
+
+    Rows without a label are left out; families that disagree on which rows are valid are an error.
+    """
+    valid = clean.require_alignment(rows.filter(F.col("target").isNotNull()), [f.name for f in families])
     marked = split.stratified(valid, test_size=test_size, seed=seed)
     within = ("dataset", "split")
     inner = split.nested(marked, valid_size, seed, dataset=within)
@@ -68,7 +71,7 @@ def part(rows: DataFrame, dataset: str, which: str) -> DataFrame:
 def run(
     experiments: Sequence[Experiment], step: str, seed: int = 42, parallelism: int = 4
 ) -> tuple[DataFrame, DataFrame, list[tuple[str, str, str]]]:
-    """(metric rows, predictions, status rows) of a step."""
+    """(metric rows, predictions, status rows) of a step; a failed experiment has a row with its status and no metrics."""
     jobs = [
         (e.key, lambda e=e: models.fit_predict(e.model, e.train(), e.test(), e.params, seed)) for e in experiments
     ]
@@ -77,12 +80,13 @@ def run(
         raise RuntimeError(f"all experiments of {step} failed: {status}")
     names = sorted({m for e in experiments for m in e.meta})
     spark = predictions.sparkSession
-    schema = ", ".join(["experiment string", "Dataset string", "Step string", "ModelType string", *[f"`{n}` string" for n in names]])
+    schema = ", ".join(["experiment string", "Dataset string", "Step string", "ModelType string", *[f"`{n}` string" for n in names], "Status string", "Error string"])
+    ended = {name: (state, message) for name, state, message in status}
     meta = spark.createDataFrame(
-        [(e.key, e.dataset, step, e.model, *[e.meta.get(n) for n in names]) for e in experiments], schema
+        [(e.key, e.dataset, step, e.model, *[e.meta.get(n) for n in names], *ended[e.key]) for e in experiments], schema
     )
-    table = metrics.metric_rows(predictions, ["experiment"]).join(F.broadcast(meta), "experiment")
-    return table.select("Dataset", "Step", "ModelType", *names, *metrics.METRICS), predictions, status
+    table = meta.join(metrics.metric_rows(predictions, ["experiment"]), "experiment", "left")
+    return table.select("Dataset", "Step", "ModelType", *names, *metrics.METRICS, "Status", "Error"), predictions, status
 
 
 def ablation(
@@ -203,21 +207,21 @@ def resampling(
     learned = ready.filter("split = 'train'" if learn == "train" else "split = 'train' and inner = 'fit'")
     counts = resample.scenario_counts(learned).withColumnRenamed("dataset", "Dataset")
     counts = counts.drop("SamplingMethod", "SamplingRatio")
-    return table.join(counts, ["Dataset", "SamplingScenario"])
+    return table.join(counts, ["Dataset", "SamplingScenario"], "left")
 
 
 def tuning(
     ready: DataFrame, dataset: str, ratio: float, method: str, n: int = 10, k: int = 3, seed: int = 42,
-    space: Mapping[str, Sequence[object]] = search.FOREST_SPACE, limits: Mapping[str, object] | None = None,
+    space: Mapping[str, Sequence[object]] = search.FOREST_SPACE,
 ) -> DataFrame:
-    """Sampled forest settings with fold scores and test metrics; `limits` overrides forest arguments."""
+    """Sampled forest settings with fold scores and test metrics; a smaller `space` makes for cheaper fits."""
     spark = ready.sparkSession
     rows = search.parameter_rows(search.sample_params(spark, n, seed, space), tuple(space))
-    candidates = [{**search.forest_params(r), **(limits or {})} for r in rows]
+    candidates = [search.forest_params(r) for r in rows]
     train, test = part(ready, dataset, "train"), part(ready, dataset, "test")
     folds = search.cross_validate(train, candidates, k, seed, ratio, method)
     grown = stored(resample.to_ratio(train, ratio, method, seed=seed), "resampled")
-    table = search.evaluate_candidates(grown, test, candidates, seed).join(folds, "candidate")
+    table = search.evaluate_candidates(grown, test, candidates, seed).join(folds.drop("Status", "Error"), "candidate")
     named = spark.createDataFrame([(i, *[r[p] for p in space]) for i, r in enumerate(rows)], ", ".join(["candidate int", *[f"{p} string" for p in space]]))
     out = table.join(F.broadcast(named), "candidate").withColumn("Dataset", F.lit(dataset))
     return out.withColumn(
@@ -311,23 +315,21 @@ def ensembles(
     return metrics.metric_rows(union, ["Dataset", "ModelFamily", "ModelName"])
 
 
-def best_rows(table: DataFrame, tie: str) -> DataFrame:
-    """The best metric row per dataset."""
-    return rank.best_per_group(table, ["Dataset"], "ROC", tie)
-
-
 def collect(
     spark: SparkSession, sources: Mapping[str, Sequence[str]], datasets: Sequence[str], baseline: str = "morgan",
-    tie: str = "CandidateLabel",
+    tie: str = report.INPUT_ORDER,
 ) -> dict[str, DataFrame]:
     """Read every step's result table and report candidates, progression and the final choice.
 
+    Of rows with the same ROC the first in its table is chosen.
+
     `sources` maps a step to its alternatives in order of preference; a step
     without a readable table is reported as missing and left out.
     """
     found, read = delimited.first_available(spark, sources)
     used = {r.Step: r.SourceUsed for r in read.collect()}
-    tables = [report.normalize(table, step, used[step], datasets) for step, table in found.items()]
+    read_order = {step: table.withColumn(report.INPUT_ORDER, F.monotonically_increasing_id()) for step, table in found.items()}
+    tables = [report.normalize(table, step, used[step], datasets) for step, table in read_order.items()]
     tables = [t for t in tables if t is not None]
     if not tables:
         raise RuntimeError("no candidate results were found")
@@ -338,8 +340,8 @@ def collect(
     final = report.final_candidate(selected)
     return {
         "source_report": read,
-        "candidates": every.orderBy("Dataset", F.col("ROC").desc()),
-        "progression": report.progression_deltas(selected).orderBy("Dataset", "StepOrder"),
-        "final": final,
+        "candidates": every.orderBy("Dataset", F.col("ROC").desc()).drop(report.INPUT_ORDER),
+        "progression": report.progression_deltas(selected).orderBy("Dataset", "StepOrder").drop(report.INPUT_ORDER),
+        "final": final.drop(report.INPUT_ORDER),
         "baseline_vs_final": report.baseline_vs_final(lifted, final),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,22 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 SEPARATORS = (";", ",")
 
 
+def _columns(header: str, sep: str) -> list[str]:
+    """Names in a header line; none if this separator would cut through a quoted name."""
+    fields = next(csv.reader([header], delimiter=sep))
+    return [] if any('"' in f for f in fields) else fields
+
+
 def detect_separator(spark: SparkSession, path: str) -> str:
-    """The first separator that splits the header line into more than one column."""
+    """The first separator that splits the header line into more than one column; quoted names stay whole."""
     lines = spark.read.text(path).filter("trim(value) <> ''").limit(1).collect()
     if not lines:
         raise ValueError(f"no header line in {path}")
     header = lines[0][0].lstrip("\ufeff")
     for sep in SEPARATORS:
-        if len(header.split(sep)) > 1:
+        if len(_columns(header, sep)) > 1:
             return sep
     raise ValueError(f"no separator found in {path}")
 
 
-def read_delimited(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
-    """All columns as text, and the separator used. A byte-order mark is dropped."""
+def read_delimited(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, str]:
+    """All columns as text, and the separator used. A byte-order mark is dropped, a doubled quote is one.
+
+    Quoted values may hold line ends only with `multi_line`, which reads each file in one task.
+    """
     sep = detect_separator(spark, path)
-    df = spark.read.csv(path, sep=sep, header=True, inferSchema=False, encoding="UTF-8")
+    df = spark.read.csv(path, sep=sep, header=True, inferSchema=False, encoding="UTF-8", escape='"', multiLine=multi_line)
     return df.toDF(*[c.lstrip("\ufeff") for c in df.columns]), sep
 
 

@@ -73,10 +73,36 @@ def test_search(spark, parts):
     sampled = search.parameter_rows(search.sample_params(spark, 2))
     assert sampled == search.parameter_rows(search.sample_params(spark, 2))
     candidates = [{**search.forest_params(r), "trees": 5, "depth": 3} for r in sampled]
+    broken = [*candidates, {"max_features": "no such rule"}]
     folds = search.cross_validate(train, candidates, method="oversampling").collect()
     assert sorted(r.cv_rank for r in folds) == [1, 2] and all(0.5 < r.mean_roc <= 1 for r in folds)
-    ranked = search.evaluate_candidates(train, test, candidates).orderBy("CandidateRank").collect()
+    ranked = search.evaluate_candidates(train, test, broken).orderBy("CandidateRank").collect()
     assert ranked[0].Test_ROC >= ranked[1].Test_ROC
+    assert (ranked[2].candidate, ranked[2].Status, ranked[2].Test_ROC) == (2, "FAILED", None) and ranked[2].Error
+
+
+def test_a_candidate_without_a_fold_has_no_mean(parts, monkeypatch):
+    train, _ = parts
+    whole, calls = models.fit_predict, []
+
+    def flaky(name, part, held, params, seed):
+        calls.append(params["trees"])
+        if params["trees"] == 3 and calls.count(3) == 2:
+            raise ValueError("lost")
+        return whole(name, part, held, params, seed)
+
+    monkeypatch.setattr(models, "fit_predict", flaky)
+    rows = search.cross_validate(train, [{"trees": 2, "depth": 2}, {"trees": 3, "depth": 2}], parallelism=1).orderBy("candidate").collect()
+    assert [(r.Status, r.mean_roc is None, r.cv_rank) for r in rows] == [("OK", False, 1), ("FAILED", True, 2)]
+
+
+def test_scores_do_not_depend_on_how_rows_are_stored(parts):
+    train, test = parts
+    scores = [
+        {r.row_id: r.score for r in models.fit_predict("RandomForest", train.repartition(n), test, FAST["RandomForest"]).collect()}
+        for n in (1, 3, 8)
+    ]
+    assert scores[0] == scores[1] == scores[2]
 
 
 def test_saved_model_scores_the_same(parts, tmp_path):

@@ -34,8 +34,9 @@ def test_gain_is_null_when_previous_is_zero(spark):
     schema = "Dataset string, ROC double, AP double, F1 double"
     now = table(spark, [("a", 0.9, 0.5, 0.5), ("lonely", 1.0, 1.0, 1.0)], schema)
     before = table(spark, [("a", 0.6, 0.0, 0.25), ("a", 0.5, 0.9, 0.9)], schema)
-    rows = report.gain(now, before, "new", "old").collect()
-    assert len(rows) == 1
+    rows = report.gain(now, before, "new", "old").orderBy("Dataset").collect()
+    assert [r.Dataset for r in rows] == ["a", "lonely"]
+    assert rows[1].Previous_ROC is None and rows[1].ROC_Delta is None and rows[1]["ROC_Gain_%"] is None
     assert rows[0]["ROC_Gain_%"] == pytest.approx(50.0)
     assert rows[0]["AP_Gain_%"] is None and rows[0].AP_Delta == 0.5
     assert rows[0]["F1_Gain_%"] == pytest.approx(100.0)

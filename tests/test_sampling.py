@@ -84,7 +84,7 @@ def test_resampling_never_touches_test_rows(spark):
     assert not test & {r.row_id for r in grown.select("row_id").distinct().collect()}
 
 
-def test_large_strata_take_the_prefix_path_with_the_same_result(spark):
+def test_length_of_the_prefix_does_not_change_the_cuts(spark):
     data = rows(spark, 3000, 1000)
 
     def takes(totals):
@@ -93,12 +93,24 @@ def test_large_strata_take_the_prefix_path_with_the_same_result(spark):
         )
 
     small = rank.assign_segments(data, ["target"], "row_id", 7, "x", takes)
-    large = rank.assign_segments(data, ["target"], "row_id", 7, "x", takes, digits=2, window_rows=0)
+    large = rank.assign_segments(data, ["target"], "row_id", 7, "x", takes, digits=2)
     assert small.exceptAll(large).count() == 0 and large.count() == 4000
     got = counts(large, "target", "segment")
     assert got == {(0, 1): 1000, (0, 2): 1999, (0, 3): 1, (1, 1): 333, (1, 2): 666, (1, 3): 1}
 
 
+def test_rows_without_a_label_are_refused(spark):
+    data = rows(spark, 30, 10).unionByName(spark.range(1).select(F.lit("d").alias("dataset"), F.lit(999).cast("long").alias("row_id"), F.lit(None).cast("int").alias("target")), allowMissingColumns=True)
+    with pytest.raises(Exception, match="null in"):
+        split.stratified(data).collect()
+
+
+def test_a_single_class_is_left_as_it_is(spark):
+    data = rows(spark, 0, 12)
+    for method in ("oversampling", "undersampling"):
+        assert resample.to_ratio(data, 1.0, method).count() == 12
+
+
 def test_exact_rank_matches_a_window(spark):
     data = rows(spark, 500, 200).withColumn("key", order_key(1, "r", "row_id"))
     ranked = rank.exact_rank(data, ["target"], "key", "row_id", digits=1)

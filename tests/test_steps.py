@@ -1,9 +1,11 @@
 """The experiment steps end to end on the smallest tables."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from scoreloom.operators import featurize
+from scoreloom.operators import featurize, search
 from scoreloom.plans import steps
 from scoreloom.sources.tables import by_target, labelled_documents
 
@@ -29,6 +31,28 @@ def test_selection_on_validation_rows(rows):
     assert table.TN + table.FP + table.FN + table.TP == held
 
 
+def test_tuning_names_the_settings_that_it_fits(rows):
+    ready = steps.assembled(rows, FAMILIES)
+    space = {**search.FOREST_SPACE, "n_estimators": (4,), "max_depth": (3,), "min_samples_leaf": (1,), "max_features": ("sqrt",)}
+    for r in steps.tuning(ready, "quality", 1.0, "none", n=2, space=space).collect():
+        params = json.loads(r.Params)
+        assert (params["trees"], params["depth"]) == (4, 3) and "n=4 | depth=3" in r.CandidateLabel
+
+
+def test_rows_that_only_some_families_have_are_refused(spark, rows):
+    docs = labelled_documents(spark, "/root/testdata/sf0.001")
+    bad = by_target(featurize.featurize(docs, FAMILIES).drop("text")).withColumn("desc", F.when(F.col("row_id") > 5, F.col("desc")))
+    with pytest.raises(ValueError):
+        steps.prepare(bad, FAMILIES)
+
+
+def test_first_row_of_a_table_wins_a_tie(spark, tmp_path):
+    path = tmp_path / "five.csv"
+    path.write_text("Dataset,Comparison,ModelType,ROC,AP,F1\na,Gatekeeper RF,RandomForest,0.9,0.7,0.6\na,Best 12-model result,RandomForest,0.9,0.7,0.6\n")
+    out = steps.collect(spark, {"05_model_search": [str(path)]}, ["a"])
+    assert out["progression"].first().CandidateLabel == "Gatekeeper RF"
+
+
 def test_ensemble_rows(rows):
     table = steps.ensembles(
         rows, FAMILIES, "quality", "keys_desc", 1.0, "oversampling", FAST, trees=4, rounds=2, views=("keys", "desc"), keep=2
