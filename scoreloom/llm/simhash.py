@@ -21,7 +21,7 @@ from scoreloom.session import materialise
 
 SHINGLE, SEED, BITS, MAX_BITS = 3, 42, 64, 2
 #: Fingerprints in a subtree at most, bits by which the cut goes down, node pairs that a task holds at once.
-SUBTREE, STEP, PAIRS = 8_192, 4, 200_000
+SUBTREE, STEP, PAIRS = 16_384, 2, 200_000
 #: Range pairs with at most so many fingerprint pairs are compared directly.
 DIRECT = 64
 MAX_ROUNDS = 100
@@ -186,36 +186,41 @@ def subtrees(fps: DataFrame, most: int = SUBTREE, step: int = STEP) -> tuple[Dat
 LINKS = pa.schema([("low", pa.int64()), ("high", pa.int64())])
 
 
-def _links(table: pa.Table) -> pa.Table:
-    """Links that span the components within one pair of subtrees: each fingerprint to the smallest of its component."""
-    value = table["fp"].to_numpy().astype(np.uint64)
-    side = table["side"].to_numpy()
-    if (side == 2).any():  # a subtree with itself
-        values = np.sort(value)
-        union = Union(len(values))
-        for i, j in trie_join(values, None):
-            union.link(i, j)
-    else:
-        a, b = np.sort(value[side == 0]), np.sort(value[side == 1])
-        values, union = np.concatenate([a, b]), Union(len(value))
-        for i, j in trie_join(a, b):
-            union.link(i, j + len(a))
+def _spanning(a: np.ndarray, b: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the components within a pair of subtrees: each fingerprint to the smallest place of its component."""
+    values = a if b is None else np.concatenate([a, b])
+    union = Union(len(values))
+    for i, j in trie_join(a, b):
+        union.link(i, j if b is None else j + len(a))
     root = union.roots()
-    linked = root != np.arange(len(root))
-    columns = [values[root[linked]].astype(np.int64), values[linked].astype(np.int64)]
-    return pa.Table.from_arrays([pa.array(c) for c in columns], schema=LINKS)
+    linked = np.flatnonzero(root != np.arange(len(root)))
+    return values[root[linked]], values[linked]
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sorted_(column: pa.Array, i: int) -> np.ndarray | None:
+        return np.sort(column[i].values.to_numpy(zero_copy_only=False).astype(np.uint64)) if column[i].is_valid else None
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            low, high = _spanning(sorted_(batch["fps_a"], i), sorted_(batch["fps_b"], i))
+            yield pa.RecordBatch.from_arrays([pa.array(low.astype(np.int64)), pa.array(high.astype(np.int64))], schema=LINKS)
 
 
 def links(fps: DataFrame, most: int = SUBTREE) -> DataFrame:
-    """(low, high): links that connect all fingerprints (distinct `fp`) within MAX_BITS of each other."""
+    """(low, high): links that connect all fingerprints (distinct `fp`) within MAX_BITS of each other.
+
+    A subtree travels as one array, to each pair that it is in; a pair with itself as second has none.
+    """
     placed, pairs = subtrees(fps, most)
-    pairs = pairs.withColumn("pair", F.struct("a", "da", "b", "db"))
-    ends = pairs.select(
-        "pair", F.inline(F.when((F.col("a") == F.col("b")) & (F.col("da") == F.col("db")), F.array(F.struct(F.col("a").alias("cell"), F.col("da").alias("depth"), F.lit(2).alias("side"))))
-        .otherwise(F.array(F.struct(F.col("a").alias("cell"), F.col("da").alias("depth"), F.lit(0).alias("side")), F.struct(F.col("b").alias("cell"), F.col("db").alias("depth"), F.lit(1).alias("side"))))),
-    )
-    sent = placed.join(ends, ["cell", "depth"]).select("pair", "side", "fp")
-    return sent.groupBy("pair").applyInArrow(_links, "low long, high long")
+    packed = stored(placed.groupBy("cell", "depth").agg(F.collect_list("fp").alias("fps")), "subtrees")
+    a = packed.select(F.col("cell").alias("a"), F.col("depth").alias("da"), F.col("fps").alias("fps_a"))
+    b = packed.select(F.col("cell").alias("b"), F.col("depth").alias("db"), F.col("fps").alias("fps_b"))
+    other = pairs.filter((F.col("a") != F.col("b")) | (F.col("da") != F.col("db"))).join(a, ["a", "da"]).join(b, ["b", "db"])
+    own = a.select(F.col("a").alias("b"), F.col("da").alias("db"), "a", "da", "fps_a", F.lit(None).cast("array<long>").alias("fps_b"))
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = other.unionByName(own).repartition(tasks, "a", "da", "b", "db")
+    return dealt.select("fps_a", "fps_b").mapInArrow(_links, "low long, high long")
 
 
 def components(edges: DataFrame) -> DataFrame:
