@@ -40,13 +40,13 @@ def average_precision(spark, sf):
 @query(
     "roc_curve",
     _LINE_METRICS + ",\n" + S.ladder("pred", "dataset, experiment")
-    + "\nSELECT dataset, experiment, round(score, 6) AS threshold, round((cum_rows - cum_pos) / n, 6) AS fpr, round(cum_pos / p, 6) AS tpr FROM ("
+    + "\nSELECT dataset, experiment, round(score, 8) AS threshold, round((cum_rows - cum_pos) / n, 6) AS fpr, round(cum_pos / p, 6) AS tpr FROM ("
     "SELECT *, sum(pos) OVER w AS p, sum(rows - pos) OVER w AS n FROM ladder WINDOW w AS (PARTITION BY dataset, experiment))"
     " UNION ALL SELECT DISTINCT dataset, experiment, NULL::DOUBLE, 0.0, 0.0 FROM ladder",
 )
 def roc_curve(spark, sf):
     points = metrics.roc_curve(C.line_scores(spark, sf, *_ALL), _KEYS)
-    return C.rounded(points, "threshold", "fpr", "tpr")
+    return C.rounded(C.rounded(points, "threshold", digits=8), "fpr", "tpr")
 
 
 @query("metric_row", _FULL + f"SELECT dataset, experiment, {S.rounded('ROC', 'AP', *_RATES)}, TN, FP, FN, TP FROM m")
