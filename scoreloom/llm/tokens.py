@@ -4,19 +4,26 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 from collections.abc import Iterable
 
-#: Every tokenizer here drops these, so a text's ids are those of its words one after another.
-BREAKS = re.compile("[\t\n\r ]+")
-CACHED_WORDS, CACHED_CHARS = 400_000, 48
+CACHED_WORDS, CACHED_CHARS = 1_000_000, 48
+
+
+def split(text: str) -> list[str]:
+    """Words at ASCII white space that every tokenizer here drops, so that a text's ids are those of its words in turn.
+
+    Tokenizers here lower-case, so ASCII texts are lower-cased before; not if they may hold the name of a special token.
+    """
+    if text.isascii() and "<|" not in text:
+        text = text.lower()
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
 class Encoder:
     """Ids of whole texts as bytes, little-endian unsigned 32-bit.
 
-    For tokenizers that cut at white space and drop it. Words are encoded once and kept, until CACHED_WORDS are and
-    the cache starts anew.
+    For tokenizers that cut at white space and drop it, and lower-case. Words are encoded once and kept, until
+    CACHED_WORDS are and the cache starts anew.
     """
 
     def __init__(self, path: str):
@@ -36,18 +43,19 @@ class Encoder:
     def texts(self, texts: Iterable[str], end: int) -> list[bytes]:
         """For each text its ids and then `end`."""
         tail, known = int(end).to_bytes(4, "little"), self.words
-        split = [BREAKS.split(text) for text in texts]
+        words_of = [split(text) for text in texts]
         if len(known) > CACHED_WORDS:
             known.clear()
-        new = list({w for words in split for w in words if w not in known})
+        new = list(set().union(*words_of).difference(known))
         long = {}
         for i in range(0, len(new), 50_000):
-            for word, ids in zip(part := new[i : i + 50_000], self._encode(part), strict=True):
+            part = new[i : i + 50_000]
+            for word, ids in zip(part, self._encode(part), strict=True):
                 (known if len(word) <= CACHED_CHARS else long)[word] = ids
         if long:
-            return [b"".join([*(known[w] if w in known else long[w] for w in words), tail]) for words in split]
+            return [b"".join([*(known[w] if w in known else long[w] for w in words), tail]) for words in words_of]
         get = known.__getitem__
-        return [b"".join(map(get, words)) + tail for words in split]
+        return [b"".join(map(get, words)) + tail for words in words_of]
 
 
 @functools.cache
