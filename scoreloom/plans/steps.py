@@ -92,9 +92,9 @@ def run(
 def ablation(
     rows: DataFrame, families: Sequence[featurize.Family], datasets: Sequence[str],
     sets: Sequence[str] | None = None, params: Mapping[str, object] | None = None, seed: int = 42,
-    select_on: str = "test",
+    select_on: str = "test", reference: str | None = None,
 ) -> DataFrame:
-    """One forest per dataset and feature set."""
+    """One forest per dataset and feature set; rows of the set `reference` (the first family) are marked in Comparison."""
     learn, measure = SELECT_ON[select_on]
     experiments = []
     for name in sets or featurize.available_sets(families):
@@ -107,7 +107,9 @@ def ablation(
             )
             for d in datasets
         ]
-    return run(experiments, "03_feature_ablation", seed)[0]
+    table = run(experiments, "03_feature_ablation", seed)[0]
+    marked = F.when(F.col("FeatureSet") == (reference or families[0].name), "Reference").otherwise("")
+    return table.withColumn("Comparison", marked)
 
 
 def feature_ranking(

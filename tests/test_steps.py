@@ -46,6 +46,16 @@ def test_rows_that_only_some_families_have_are_refused(spark, rows):
         steps.prepare(bad, FAMILIES)
 
 
+def test_collected_steps_have_the_baseline_of_the_ablation(spark, rows, tmp_path):
+    table = steps.ablation(rows, FAMILIES, ["quality"], sets=["keys", "desc"], params=FAST)
+    table.write.parquet(str(tmp_path / "three"))
+    out = steps.collect(spark, {"03_feature_ablation": [str(tmp_path / "three")]}, ["quality"])
+    first, second = out["progression"].orderBy("StepOrder").collect()
+    reference = table.filter("Comparison = 'Reference'").first()
+    assert (first.StepOrder, first.ROC, reference.FeatureSet) == (2, reference.ROC, FAMILIES[0].name)
+    assert second.StepOrder == 3 and second.ROC >= first.ROC
+
+
 def test_first_row_of_a_table_wins_a_tie(spark, tmp_path):
     path = tmp_path / "five.csv"
     path.write_text("Dataset,Comparison,ModelType,ROC,AP,F1\na,Gatekeeper RF,RandomForest,0.9,0.7,0.6\na,Best 12-model result,RandomForest,0.9,0.7,0.6\n")
