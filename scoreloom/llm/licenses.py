@@ -1,4 +1,4 @@
-"""Licence scan: a positional index of rare template words, relative positions, and mandatory key phrases.
+"""Licence scan: a positional index of each template's rarest words, relative positions, and mandatory key phrases.
 
 Everything is DataFrame functions. A text is scanned in its own row; only how many texts hold each template word is
 counted over all rows, at most one row for each word of the templates.
@@ -54,8 +54,8 @@ TEMPLATES = (
     Template("all-rights-reserved", "All rights reserved.", ("all rights reserved",)),
 )
 
-#: Template words looked up for each text at most, and the share of texts from which a word is not rare.
-RAREST, RARE_SHARE = 8, 0.1
+#: Template words looked up for each text at most.
+RAREST = 8
 #: A template stands at a place if this share of its words do, each where it should.
 LEAST_SHARE = 0.6
 
@@ -69,17 +69,25 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), BETWEEN), "")
 
 
-def rare_words(rows: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> list[str]:
-    """Template words by falling IDF (then by spelling) over all rows of (words), without those that are not rare.
+def anchors(rows: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> list[list[str]]:
+    """For each template its rarest words over all rows of (words), as many as every match must hold one of.
 
-    If no word is, the rarer half of them.
+    A match lacks some of the template's places at most; the anchors stand at one place more.
     """
     vocabulary = sorted({w for t in templates for w in _split(t.text)})
     held = rows.select(F.explode(F.array_intersect(F.array(*map(F.lit, vocabulary)), F.col("words"))).alias("word"))
     counts = {r["word"]: r["count"] for r in held.groupBy("word").count().collect()}  # a row for each template word at most
-    total, ranked = rows.count(), sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
-    rare = [w for w in ranked if counts.get(w, 0) <= RARE_SHARE * total]
-    return rare or ranked[: len(ranked) // 2]
+    chosen = []
+    for template in templates:
+        words = _split(template.text)
+        lacking = max(n for n in range(len(words)) if (len(words) - n) / len(words) >= LEAST_SHARE)
+        own: list[str] = []
+        for w in sorted(set(words), key=lambda w: (counts.get(w, 0), w)):
+            if sum(map(words.count, own)) > lacking:
+                break
+            own.append(w)
+        chosen.append(own)
+    return chosen
 
 
 def _phrase_places(phrases: Mapping[str, str]) -> Column:
@@ -96,18 +104,18 @@ def _phrase_places(phrases: Mapping[str, str]) -> Column:
     return F.concat(*[at(p) for p in phrases])
 
 
-def _aligned(templates: tuple[Template, ...], rare: list[str]) -> Column:
-    """(template, begin) where a rare word of the text and of a template give it; begin may be before the text."""
-    postings = {w: [] for w in rare}
-    for t, template in enumerate(templates):
+def _aligned(templates: tuple[Template, ...], chosen: list[list[str]]) -> Column:
+    """(template, begin) where an anchor in the text and in a template gives it; begin may be before the text."""
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for t, (template, own) in enumerate(zip(templates, chosen, strict=True)):
         for i, w in enumerate(_split(template.text)):
-            if w in postings:
-                postings[w].append((t, i))
+            if w in own:
+                postings.setdefault(w, []).append((t, i))
     lists = F.create_map(
-        *[x for w in rare for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")) for t, i in postings[w]]))]
+        *[x for w, at in postings.items() for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")) for t, i in at]))]
     )
     hits = F.filter(
-        F.transform("words", lambda w, i: F.when(F.array_contains(F.col("rarest"), w), F.struct(w.alias("w"), i.alias("i")))),
+        F.transform("words", lambda w, i: F.when(F.array_contains(F.col("anchored"), w), F.struct(w.alias("w"), i.alias("i")))),
         lambda h: h.isNotNull(),
     )
     begins = F.transform(hits, lambda h: F.transform(lists[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["i"]).alias("begin"))))
@@ -134,13 +142,14 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrase
     columns are left out.
     """
     rows = documents(docs).select("doc_id", words_of(F.col("text")).alias("words"))
-    rare = rare_words(rows, templates)
-    df = rows.withColumn("rarest", F.slice(F.array_intersect(F.array(*map(F.lit, rare)), F.col("words")), 1, RAREST))
+    chosen = anchors(rows, templates)
+    wanted = F.array(*map(F.lit, sorted({w for own in chosen for w in own})))
+    df = rows.withColumn("anchored", F.slice(F.array_intersect(wanted, F.col("words")), 1, RAREST))
     first_words = F.array(*[F.lit(p.split()[0]) for p in phrases])
     none = F.array().cast("array<struct<place:bigint,label:string>>")
     df = df.withColumn("base", F.when(F.arrays_overlap(F.col("words"), first_words), _phrase_places(phrases)).otherwise(none))
     joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    df = df.withColumn("aligned", F.when(F.size("rarest") > 0, _aligned(templates, rare)))
+    df = df.withColumn("aligned", F.when(F.size("anchored") > 0, _aligned(templates, chosen)))
     scored = F.transform("aligned", lambda p: F.struct(p["t"].alias("t"), _share(templates, p).alias("share")))
     df = df.withColumn("scored", F.filter(scored, lambda p: p["share"] >= LEAST_SHARE))
     df = df.withColumn("joined", F.when(F.size("scored") > 0, joined))

@@ -148,6 +148,14 @@ def test_licenses(make, edge_rows, empty):
     assert licenses.scanned(empty).count() == 0
 
 
+def test_notices_in_a_third_of_the_texts(make, edge_rows):
+    notices = [t for t in licenses.TEMPLATES if t.label in ("mit", "bsd", "mpl", "all-rights-reserved")]
+    rows = [(i, notices[i % len(notices)].text, "en", "a") for i in range(30)]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scanned(make(rows + [(100 + r[0], *r[1:]) for r in edge_rows[:60]])).collect()}
+    assert all(got[i] == (notices[i % len(notices)].label, 1.0) for i in range(30))
+    assert all(got[100 + r[0]][0] == "" for r in edge_rows[:60])
+
+
 def test_rare_words_when_all_texts_are_notices(make):
     rows = [(i, licenses.TEMPLATES[0].text, "en", "a") for i in range(20)]
     assert {(r.labels, r.score) for r in licenses.scanned(make(rows)).collect()} == {("gpl", 1.0)}
