@@ -24,6 +24,9 @@ COMMON_CHARS, COMMON_SHARE = 6, 0.01
 #: Shorter documents, and languages with fewer words in all, are not judged by their divergence.
 MIN_JUDGED_WORDS, MIN_JUDGED_CHARS, MIN_REFERENCE_WORDS = 50, 200, 1_000
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.31, 0.42
+#: Common words are missing in a text with less than this share of those expected, and less by so many roots of that
+#: number; or if those it lacks altogether would be so many: chances under one in a thousand if words were independent.
+MIN_COMMON_SHARE, COMMON_DEVIATIONS, MAX_MISSING = 1 / 3, 2.5, 12
 MAX_BROADCAST_LANGUAGES = 1_000
 
 
@@ -36,8 +39,12 @@ def _removed(pattern: str) -> Column:
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """(word_lang, common): for each language of (text, lang) its common words, the most frequent first."""
+    """(word_lang, common): for each language of (text, lang) its common words, the most frequent first.
+
+    A run without letter or digit is no word here.
+    """
     words = docs.select("lang", F.explode(_words()).alias("word")).filter(F.length("word") <= COMMON_CHARS)
+    words = words.filter(F.col("word").rlike(r"[\p{L}\p{N}]"))
     counted = stored(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     totals = stored(counted.groupBy(F.col("lang").alias("word_lang")).agg(F.sum("n").alias("total")), "word-totals")
     joined = counted.join(broadcast_up_to(totals, MAX_BROADCAST_LANGUAGES), F.col("lang").eqNullSafe(F.col("word_lang")))
@@ -134,6 +141,16 @@ def distance(counts: Column, share: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)) / 2)
 
 
+def lacks_common_words() -> Column:
+    """Whether a row with (hits, n_words) and its language's word_share has too few of the common words, or not some."""
+    shares = F.slice("word_share", F.lit(1), F.size("word_share") - 1)
+    expected = F.col("n_words") * F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+    least = F.least(MIN_COMMON_SHARE * expected, expected - COMMON_DEVIATIONS * F.sqrt(expected))
+    absent = F.zip_with("hits", shares, lambda n, share: F.when(n == 0, share).otherwise(0.0))
+    missing = F.col("n_words") * F.aggregate(absent, F.lit(0.0), lambda a, x: a + x)
+    return (_total("hits") < least) | (missing > MAX_MISSING)
+
+
 def verdicts(measures: DataFrame, refs: DataFrame) -> DataFrame:
     """Adds base_failed, class_distance, word_distance and kept; needs all measures and references."""
     df = measures.join(broadcast_up_to(refs, MAX_BROADCAST_LANGUAGES), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
@@ -151,6 +168,7 @@ def verdicts(measures: DataFrame, refs: DataFrame) -> DataFrame:
         }
     )
     far = (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)
+    far |= enough & lacks_common_words()
     return df.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
 
 
@@ -161,7 +179,8 @@ def _rows(docs: DataFrame, *more: Column) -> DataFrame:
 def judged(docs: DataFrame) -> DataFrame:
     """Every row of docs (doc_id, text, lang) with its statistics, class_distance, word_distance and kept.
 
-    Null and empty texts have no words: base_failed is true, the distances are null. Short texts and those of a
+    Texts far from their language's reference, or without its common words, are not kept. Null and empty texts have no
+    words: base_failed is true, the distances are null. Short texts and those of a
     language with few words have null distances and are kept if the base rules keep them. A null language is one like
     any other. Repeated rows are judged alike. Other columns are left out, so clashing names don't matter.
     """

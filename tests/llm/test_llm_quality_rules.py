@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -84,6 +85,23 @@ def test_junk_is_far_and_clean_text_is_kept(make, edge_rows):
     assert all(verdict[r[0]] for r in clean)
 
 
+def test_wrong_language_and_gibberish_are_not_kept(make):
+    rng = random.Random(8)
+    common = {"en": "the of and to in is a that".split(), "de": "der die und das den von zu in".split(), "xx": "der die und y que el los las".split()}
+
+    def text(lang, n, share=0.16):
+        return " ".join(rng.choice(common[lang]) if rng.random() < share else "".join(rng.choices("abcdefgh", k=8)) for _ in range(n))
+
+    clean = [(i, text(lang, rng.randint(60, 400)), lang, "a") for i, lang in enumerate(["en", "de", "xx"] * 60)]
+    junk = [(500 + i, "| " * 300 + text("en", 30), "en", "a") for i in range(9)]
+    wrong = [(600, text("de", 120), "en", "a"), (601, text("en", 120), "de", "a"), (602, text("en", 100, 0), "en", "a"), (603, text("de", 400), "xx", "a")]
+    docs = make(clean + junk + wrong)
+    assert all("|" not in r.common for r in q.common_words(docs.select("text", "lang")).collect())
+    verdict = {r.doc_id: r.kept for r in q.judged(docs).collect()}
+    assert not any(verdict[r[0]] for r in wrong)
+    assert sum(not verdict[r[0]] for r in clean) == 0
+
+
 def test_empty(empty):
     assert q.judged(empty).count() == 0
     assert q.filtered(empty).count() == 0
