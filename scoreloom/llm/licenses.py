@@ -54,8 +54,6 @@ TEMPLATES = (
     Template("all-rights-reserved", "All rights reserved.", ("all rights reserved",)),
 )
 
-#: Template words looked up for each text at most.
-RAREST = 8
 #: A template stands at a place if this share of its words do, each where it should.
 LEAST_SHARE = 0.6
 
@@ -144,7 +142,7 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrase
     rows = documents(docs).select("doc_id", words_of(F.col("text")).alias("words"))
     chosen = anchors(rows, templates)
     wanted = F.array(*map(F.lit, sorted({w for own in chosen for w in own})))
-    df = rows.withColumn("anchored", F.slice(F.array_intersect(wanted, F.col("words")), 1, RAREST))
+    df = rows.withColumn("anchored", F.array_intersect(wanted, F.col("words")))
     first_words = F.array(*[F.lit(p.split()[0]) for p in phrases])
     none = F.array().cast("array<struct<place:bigint,label:string>>")
     df = df.withColumn("base", F.when(F.arrays_overlap(F.col("words"), first_words), _phrase_places(phrases)).otherwise(none))

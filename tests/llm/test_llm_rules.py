@@ -156,6 +156,14 @@ def test_notices_in_a_third_of_the_texts(make, edge_rows):
     assert all(got[100 + r[0]][0] == "" for r in edge_rows[:60])
 
 
+def test_several_licences_in_one_text(make, edge_rows):
+    by = {t.label: t.text for t in licenses.TEMPLATES}
+    files = [("bsd", "all-rights-reserved"), ("mit", "cc-by-sa", "mpl", "all-rights-reserved"), tuple(sorted(by))]
+    rows = [(300 + i, "Copyright 2020. " + " ".join(by[x] for x in labels), "en", "a") for i, labels in enumerate(files)]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scanned(make(edge_rows + rows)).collect()}
+    assert all(set(labels) <= set(got[300 + i]) for i, labels in enumerate(files))
+
+
 def test_rare_words_when_all_texts_are_notices(make):
     rows = [(i, licenses.TEMPLATES[0].text, "en", "a") for i in range(20)]
     assert {(r.labels, r.score) for r in licenses.scanned(make(rows)).collect()} == {("gpl", 1.0)}
