@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import fingerprints, hmm, licenses, mixing, packing, pii, quality_rules, simhash, token_store, url_filter
+from scoreloom.llm import fingerprints, hmm, licenses, mixing, packing, pieces, pii, quality_rules, simhash, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,14 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_pii")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return pii.detected(read(spark, sf, "documents"))
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op11_sentencepiece")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.encoded(read(spark, sf, "documents"), vocabulary())
