@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import fingerprints, hmm, licenses, mixing, packing, pieces, pii, quality_rules, repair, simhash, token_store, url_filter
+from scoreloom.llm import fingerprints, hmm, licenses, mixing, packing, pieces, pii, prefixes, quality_rules, repair, simhash, token_store, url_filter
 from scoreloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,8 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return repair.audited(repair.damaged(read(spark, sf, "conversations")))
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.nodes(read(spark, sf, "conversations"))
