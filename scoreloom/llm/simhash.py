@@ -1,11 +1,8 @@
-"""Near duplicates: SimHash fingerprints and a binary trie joined with itself, or similar sets of shingles; components.
+"""SimHash near duplicates: fingerprints of word shingles, a binary trie joined with itself, connected components.
 
 The trie of all fingerprints is cut into subtrees of bounded size. Node pairs are followed down from the root pair by
 some bits at a time, and dropped once their prefixes differ in more bits than allowed; what is left are pairs of
 subtrees, which tasks join bit by bit in the same way.
-
-`linked` is this query. `deduplicated`, a stage, takes texts as sets of five-word shingles and links those of Jaccard
-similarity 0.8 or more: MinHash bands give candidates, and each link is confirmed on the whole sets.
 """
 
 from __future__ import annotations
@@ -29,34 +26,30 @@ SUBTREE, STEP, PAIRS = 16_384, 2, 200_000
 DIRECT = 64
 MAX_ROUNDS = 100
 
-#: Of `deduplicated`: words of a shingle, and similarity as a fraction.
-SET_SHINGLE, SIMILAR = 5, (4, 5)
-#: A pair of similarity s shares a band with probability 1 - (1 - s ** BAND_ROWS) ** BANDS: 0.9996 at 0.8.
-BANDS, BAND_ROWS = 20, 5
-#: Texts, and shingles, in a block of a bucket, about; shingles that are compared at once.
-BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 500_000, 4_096
-
 
-def fingerprint(text: str) -> int:
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").lower().split()  # on bytes: A-Z, and ASCII white space
     if not words:
         return 0
     digest = xxhash.xxh64_digest
-    n = max(1, len(words) - SHINGLE + 1)
+    n = max(1, len(words) - shingle + 1)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, n, 1 << 16):  # bounded memory for very long texts
-        some = words[at : min(n, at + (1 << 16)) + SHINGLE - 1]
-        shingles = map(b" ".join, zip(*(some[i:] for i in range(min(SHINGLE, len(words)))), strict=False))
+        some = words[at : min(n, at + (1 << 16)) + shingle - 1]
+        shingles = map(b" ".join, zip(*(some[i:] for i in range(min(shingle, len(words)))), strict=False))
         hashes = b"".join([digest(s, SEED) for s in shingles])
         ones += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-@F.pandas_udf(T.LongType())
-def _fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).astype(np.int64))
+def _fingerprints(text: Column, shingle: int) -> Column:
+    @F.pandas_udf(T.LongType())
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).astype(np.int64))
+
+    return of(text)
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -152,10 +145,10 @@ def _prefix(fp: Column, depth: int) -> Column:
     return fp.bitwiseAND(F.lit(-1 << (BITS - depth)))
 
 
-def subtrees(fps: DataFrame, most: int = SUBTREE, step: int = STEP) -> tuple[DataFrame, DataFrame]:
+def subtrees(fps: DataFrame, most: int = SUBTREE, step: int = STEP, budget: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
     """(fps with cell and depth, pairs of cells): the trie cut into subtrees of at most `most` fingerprints.
 
-    Pairs are (cell_a, depth_a, cell_b, depth_b), cell_a not above cell_b, whose prefixes differ in at most MAX_BITS.
+    Pairs are (cell_a, depth_a, cell_b, depth_b), cell_a not above cell_b, whose prefixes differ in at most `budget`.
     """
     spark = fps.sparkSession
     total = fps.count()
@@ -186,7 +179,7 @@ def subtrees(fps: DataFrame, most: int = SUBTREE, step: int = STEP) -> tuple[Dat
             ).drop("child")
         common = F.expr(f"if(least(da, db) = 0, 0L, shiftleft(-1L, {BITS} - least(da, db)))")
         differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")).bitwiseAND(common))
-        pairs = stored(pairs.filter((differing <= MAX_BITS) & (F.col("a") <= F.col("b"))), "trie-pairs")
+        pairs = stored(pairs.filter((differing <= budget) & (F.col("a") <= F.col("b"))), "trie-pairs")
         large = nodes.filter(F.col("n") > most).select(F.col("child").alias("parent"))
         open_ = None if large.isEmpty() else large
         depth = deep
@@ -196,33 +189,36 @@ def subtrees(fps: DataFrame, most: int = SUBTREE, step: int = STEP) -> tuple[Dat
 LINKS = pa.schema([("low", pa.int64()), ("high", pa.int64())])
 
 
-def _spanning(a: np.ndarray, b: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def _spanning(a: np.ndarray, b: np.ndarray | None, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that span the components within a pair of subtrees: each fingerprint to the smallest place of its component."""
     values = a if b is None else np.concatenate([a, b])
     union = Union(len(values))
-    for i, j in trie_join(a, b):
+    for i, j in trie_join(a, b, budget):
         union.link(i, j if b is None else j + len(a))
     root = union.roots()
     linked = np.flatnonzero(root != np.arange(len(root)))
     return values[root[linked]], values[linked]
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(budget: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def sorted_(column: pa.Array, i: int) -> np.ndarray | None:
         return np.sort(column[i].values.to_numpy(zero_copy_only=False).astype(np.uint64)) if column[i].is_valid else None
 
-    for batch in batches:
-        for i in range(batch.num_rows):
-            low, high = _spanning(sorted_(batch["fps_a"], i), sorted_(batch["fps_b"], i))
-            yield pa.RecordBatch.from_arrays([pa.array(low.astype(np.int64)), pa.array(high.astype(np.int64))], schema=LINKS)
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                low, high = _spanning(sorted_(batch["fps_a"], i), sorted_(batch["fps_b"], i), budget)
+                yield pa.RecordBatch.from_arrays([pa.array(low.astype(np.int64)), pa.array(high.astype(np.int64))], schema=LINKS)
+
+    return of
 
 
-def links(fps: DataFrame, most: int = SUBTREE) -> DataFrame:
-    """(low, high): links that connect all fingerprints (distinct `fp`) within MAX_BITS of each other.
+def links(fps: DataFrame, most: int = SUBTREE, budget: int = MAX_BITS) -> DataFrame:
+    """(low, high): links that connect all fingerprints (distinct `fp`) within `budget` bits of each other.
 
     A subtree travels as one array, to each pair that it is in; a pair with itself as second has none.
     """
-    placed, pairs = subtrees(fps, most)
+    placed, pairs = subtrees(fps, most, budget=budget)
     packed = stored(placed.groupBy("cell", "depth").agg(F.collect_list("fp").alias("fps")), "subtrees")
     a = packed.select(F.col("cell").alias("a"), F.col("depth").alias("da"), F.col("fps").alias("fps_a"))
     b = packed.select(F.col("cell").alias("b"), F.col("depth").alias("db"), F.col("fps").alias("fps_b"))
@@ -230,7 +226,7 @@ def links(fps: DataFrame, most: int = SUBTREE) -> DataFrame:
     own = a.select(F.col("a").alias("b"), F.col("da").alias("db"), "a", "da", "fps_a", F.lit(None).cast("array<long>").alias("fps_b"))
     tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = other.unionByName(own).repartition(tasks, "a", "da", "b", "db")
-    return dealt.select("fps_a", "fps_b").mapInArrow(_links, "low long, high long")
+    return dealt.select("fps_a", "fps_b").mapInArrow(_links(budget), "low long, high long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -254,10 +250,10 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def grouped(rows: DataFrame) -> DataFrame:
+def grouped(rows: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     """Adds root, a fingerprint for each component, and component_id, its smallest doc_id, to stored rows (doc_id, fp, ...)."""
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    found = components(stored(links(classes.select("fp")), "links"))
+    found = components(stored(links(classes.select("fp"), budget=budget), "links"))
     roots = found.select(F.col("node").alias("fp"), "root")
     near = stored(classes.join(roots, "fp").select("fp", "root", "least"), "near")
     least = near.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -268,158 +264,36 @@ def grouped(rows: DataFrame) -> DataFrame:
     return rows.join(stored(whole, "components"), "fp")
 
 
-def fingerprinted(docs: DataFrame) -> DataFrame:
-    return stored(documents(docs).select("doc_id", _fingerprints("text").alias("fp")), "fingerprints")
+def fingerprinted(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    return stored(documents(docs).select("doc_id", _fingerprints(F.col("text"), shingle).alias("fp")), "fingerprints")
 
 
-def linked(docs: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, shingle: int = SHINGLE, budget: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of (doc_id, text).
 
+    Fingerprints are made of shingles of `shingle` words and linked if at most `budget` bits differ.
+
     Texts without words, null and empty ones too, have fingerprint zero and are linked like any other. Null ids stay
     and take part; a component of null ids alone has a null component_id. An empty table gives no rows; other columns
     are left out.
     """
-    return grouped(fingerprinted(docs)).select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
-
+    return grouped(fingerprinted(docs, shingle), budget).select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
-def shingle_set(text: str) -> np.ndarray:
-    """Sorted distinct hashes of a text's five-word shingles; of all its words if it has fewer, none if it has no word."""
-    import xxhash
-
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    digest, n, parts = xxhash.xxh64_digest, max(1, len(words) - SET_SHINGLE + 1), [np.empty(0, np.uint64)]
-    for at in range(0, n if words else 0, 1 << 16):
-        some = words[at : min(n, at + (1 << 16)) + SET_SHINGLE - 1]
-        shingles = map(b" ".join, zip(*(some[i:] for i in range(min(SET_SHINGLE, len(words)))), strict=False))
-        parts.append(np.unique(np.frombuffer(b"".join([digest(s, SEED) for s in shingles]), ">u8").astype(np.uint64)))
-    return np.unique(np.concatenate(parts))
-
-
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (BANDS * BAND_ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """A key for each band of the set's MinHash; none for an empty set."""
-    import xxhash
 
-    if not len(shingles):
-        return []
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 2048):
-        np.minimum(least, (shingles[at : at + 2048] * _FACTORS).min(1), out=least)
-    rows = least.reshape(BANDS, BAND_ROWS)
-    keys = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)]
-    return np.array(keys, np.uint64).astype(np.int64).tolist()
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE, budget: int = MAX_BITS) -> DataFrame:
+    """One row of each component of `linked`, that with its smallest doc_id, with all its columns and nothing else.
 
-
-def _signed(shingles: np.ndarray) -> int:
-    import xxhash
-
-    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).astype(np.int64)) if len(shingles) else 0
-
-
-@F.pandas_udf(T.StructType().add("fp", T.LongType()).add("n", T.LongType()).add("keys", T.ArrayType(T.LongType())))
-def _sketches(texts: pd.Series) -> pd.DataFrame:
-    rows = [(_signed(s), len(s), band_keys(s)) for s in map(shingle_set, texts)]
-    return pd.DataFrame(rows, columns=["fp", "n", "keys"])
-
-
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _sets(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingle_set(t).astype(np.int64) for t in texts])
-
-
-def _alike(common: Column, a: Column, b: Column) -> Column:
-    """Whether sets of a and b elements, of which they share some, are similar; in whole numbers."""
-    above, below = SIMILAR
-    return (above + below) * common >= above * (a + b)
-
-
-def _similar(table: pa.Table) -> pa.Table:
-    """Spanning links of the similar sets between the blocks lo and hi of a bucket, or within one block."""
-    fps = table["fp"].to_numpy()
-    sets = table["set"].combine_chunks()
-    sizes, values = np.diff(sets.offsets.to_numpy()), sets.flatten().to_numpy()
-    lo, hi, block = (table[c].to_numpy() for c in ("lo", "hi", "block"))
-    first, second = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-    row = np.repeat(np.arange(len(fps)), sizes)
-    _, column, held = np.unique(values, return_inverse=True, return_counts=True)
-    shared = held[column] > 1
-    row, column = row[shared], (np.cumsum(held > 1) - 1)[column[shared]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    common = np.zeros((len(first), len(second)), np.int64)
-    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        at = slice(*np.searchsorted(column, (begin, begin + COLUMNS)))
-        has = np.zeros((len(fps), COLUMNS), np.float32)
-        has[row[at], column[at] - begin] = 1
-        common += (has[first] @ has[second].T).astype(np.int64)
-    i, j = np.nonzero(_alike(common, sizes[first][:, None], sizes[second][None, :]))
-    union = Union(len(fps))
-    union.link(first[i], second[j])
-    root = union.roots()
-    linked_ = np.flatnonzero(root != np.arange(len(root)))
-    return pa.table([pa.array(fps[root[linked_]]), pa.array(fps[linked_])], schema=LINKS)
-
-
-def similar_links(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(low, high): links that connect all similar sets which share a band, from stored (s: fp, n, keys).
-
-    `sets_of` gives (fp, set) for (fp). Each bucket is first compared with its text of the largest buckets. Buckets
-    that this leaves in several components are cut into blocks, whose pairs tasks compare whole; none is left out.
-    """
-    every = rows.select(F.explode("s.keys").alias("key"), F.col("s.fp").alias("fp"), F.col("s.n").alias("n")).distinct()
-    counts = every.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("shingles")).filter(F.col("held") > 1)
-    shared = stored(every.join(counts, "key"), "buckets")
-    weights = shared.groupBy("fp").agg(F.sum("held").alias("weight"))
-    heads = shared.join(weights, "fp").groupBy("key").agg(F.max(F.struct("weight", "fp", "n")).alias("head"))
-    pairs = shared.join(heads.select("key", F.col("head.fp").alias("head"), F.col("head.n").alias("head_n")), "key")
-    near = _alike(F.least("n", "head_n"), F.col("n"), F.col("head_n"))
-    pairs = stored(pairs.filter((F.col("fp") != F.col("head")) & near).select("head", "fp").distinct(), "pairs")
-    sets = stored(sets_of(shared.select("fp").distinct()), "sets")
-    heads = sets.select(F.col("fp").alias("head"), F.col("set").alias("head_set"))
-    common = F.size(F.array_intersect("set", "head_set"))
-    found = pairs.join(heads, "head").join(sets, "fp").filter(_alike(common, F.size("set"), F.size("head_set")))
-    found = stored(found.select(F.least("fp", "head").alias("low"), F.greatest("fp", "head").alias("high")), "links")
-    labels = components(found).withColumnRenamed("node", "fp")
-    named = shared.filter(F.col("held") > 2).join(labels, "fp", "left").withColumn("label", F.coalesce("root", "fp"))
-    named = stored(named.select("key", "fp", "held", "shingles", "label"), "named")
-    several = named.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("key")
-    blocks = F.ceil(F.greatest(F.col("held") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    open_ = named.join(several, "key", "left_semi").withColumn("blocks", blocks)
-    open_ = open_.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    dealt = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "fp", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    more = dealt.join(sets, "fp").groupBy("key", "lo", "hi").applyInArrow(_similar, "low long, high long")
-    return found.union(stored(more.distinct(), "more-links"))
-
-
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One row of each component of similar texts, that with its smallest doc_id, with all its columns and nothing else.
-
-    Texts are similar if their sets of five-word shingles have Jaccard similarity 0.8 or more (fewer words than five
-    are one shingle; letters A-Z count as lower-case). A pair of similarity 0.8 is found with probability 0.9996, a more
-    similar one more surely; no other texts are linked, but for chance equalities of 64-bit hashes. Of several rows
-    with the smallest id that with the smallest hash of its text stays, and of repeated ones any. Texts without words
-    are one component. Rows with null ids stay only where no other row of their component has an id. Texts are
-    shuffled by id, to be joined with the candidates and with those that stay.
+    Of several rows with that id that with the smallest hash of its text stays, and of repeated ones any. Texts without
+    words are one component. Rows with null ids stay only where no other row of their component has an id. Texts are
+    shuffled once, by id, to be joined with those that stay.
     """
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
     id_, hash_ = F.coalesce(doc_id, F.lit(-1 << 63)), F.xxhash64(text)
-    rows = stored(docs.select(doc_id.alias("doc_id"), id_.alias("id"), hash_.alias("hash"), _sketches(text).alias("s")), "sketches")
+    rows = stored(docs.select(doc_id.alias("doc_id"), id_.alias("id"), hash_.alias("hash"), _fingerprints(text, shingle).alias("fp")), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id", "hash"))
-    classes = stored(rows.groupBy(F.col("s.fp").alias("fp")).agg(first.alias("best")), "classes")
+    best = grouped(rows, budget).groupBy("root").agg(first.alias("best"))
     mark, hash_mark, row = (fresh(docs, c) for c in ("mark_id", "mark_hash", "mark_row"))
-    one = Window.partitionBy(mark, hash_mark).orderBy(mark, hash_mark)
-
-    def sets_of(fps: DataFrame) -> DataFrame:
-        wanted = classes.join(fps, "fp").select(F.col("best.id").alias("i"), F.col("best.hash").alias("h"), "fp")
-        texts = docs.select(id_.alias("i"), hash_.alias("h"), text.alias("text")).join(wanted, ["i", "h"])
-        texts = texts.withColumn("at", F.row_number().over(Window.partitionBy("i", "h").orderBy("i", "h")))
-        return texts.filter(F.col("at") == 1).select("fp", _sets("text").alias("set"))
-
-    roots = components(similar_links(rows, sets_of)).withColumnRenamed("node", "fp")
-    best = classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
     kept = stored(best.select(F.col("best.id").alias(mark), F.col("best.hash").alias(hash_mark)), "kept")
     marked = docs.withColumns({mark: id_, hash_mark: hash_}).join(kept, [mark, hash_mark], "left_semi")
+    one = Window.partitionBy(mark, hash_mark).orderBy(mark, hash_mark)
     return marked.withColumn(row, F.row_number().over(one)).filter(name(row) == 1).select(*[name(c) for c in docs.columns])

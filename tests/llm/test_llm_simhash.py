@@ -101,47 +101,6 @@ def test_large_group_of_copies(make):
     assert all(found[i] == 0 for i in range(300))
 
 
-def similarity(a, b):
-    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
-    return len(a & b) / len(a | b)
-
-
-def changed(rng, words, n):
-    """The words with n of them, ten or more apart, replaced."""
-    out = list(words)
-    for at in rng.choice(len(words) // 10, n, replace=False) * 10 + 5:
-        out[at] = f"new{rng.integers(1 << 30)}"
-    return " ".join(out)
-
-
-def test_near_copies_are_one_row(make):
-    rng = np.random.default_rng(3)
-    rows, away = [], []
-    for i in range(0, 400, 4):
-        words = [f"w{x}" for x in rng.integers(0, 1 << 30, 300)]
-        rows += [(i, " ".join(words), "en", "a"), (i + 1, changed(rng, words, 1), "en", "a"), (i + 2, changed(rng, words, 6), "en", "a")]
-        away.append((i + 3, changed(rng, words, 14), "en", "a"))
-        assert similarity(rows[-3][1], rows[-1][1]) >= 0.8 and all(similarity(away[-1][1], r[1]) < 0.8 for r in rows[-3:])
-    got = sorted(r.doc_id for r in s.deduplicated(make(rows + away)).collect())
-    assert got == sorted([*range(0, 400, 4), *range(3, 400, 4)])
-
-
-def test_large_group_of_near_copies_in_blocks(make, monkeypatch):
-    """Components of a crowd in which most pairs are not similar, by comparing all pairs."""
-    rng = np.random.default_rng(4)
-    words = [f"w{i}" for i in range(150)]
-    rows = [(i, changed(rng, words, int(rng.integers(0, 9))), "en", "a") for i in range(120)]
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if root[i] != root[j] and similarity(rows[i][1], rows[j][1]) >= 0.8:
-                a, b = root[i], root[j]
-                root = [min(a, b) if r in (a, b) else r for r in root]
-    monkeypatch.setattr(s, "BLOCK", 7)
-    assert sorted(r.doc_id for r in s.deduplicated(make(rows)).collect()) == sorted(set(root))
-    assert 1 < len(set(root)) < 100
-
-
 def test_empty(empty):
     assert s.linked(empty).count() == 0
     assert s.deduplicated(empty).count() == 0
