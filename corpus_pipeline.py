@@ -15,8 +15,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash.deduplicated(docs)
+    """One document of each group of near duplicates by fingerprint."""
+    return simhash.deduplicated(docs, simhash.SHINGLE, simhash.MAX_BITS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
