@@ -38,6 +38,14 @@ def _removed(pattern: str) -> Column:
     return (F.length("text") - F.length(F.regexp_replace("text", pattern, ""))).cast("long")
 
 
+def examined(rows: DataFrame) -> DataFrame:
+    """rows (text, ...) with n_dup_lines, n_repeat_words and base_failed."""
+    words = rows.withColumn("words", _words())
+    n_words = F.size("words")
+    failed = (n_words < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * n_words)
+    return with_repeats(words).withColumn("base_failed", failed).drop("words")
+
+
 def common_words(docs: DataFrame) -> DataFrame:
     """(word_lang, common): for each language of (text, lang) its common words, the most frequent first.
 
@@ -103,7 +111,7 @@ def with_repeats(df: DataFrame) -> DataFrame:
 
 
 def references(measures: DataFrame) -> DataFrame:
-    """(ref_lang, class_share, word_share, ref_words) for each language, from (lang, classes, hits, n_words) of all rows.
+    """(ref_lang, class_share, word_share, ref_words) for each language, from (lang, classes, hits, n_words) of rows.
 
     word_share follows the language's common words and ends with the share of all other words.
     """
@@ -152,17 +160,15 @@ def lacks_common_words() -> Column:
 
 
 def verdicts(measures: DataFrame, refs: DataFrame) -> DataFrame:
-    """Adds base_failed, class_distance, word_distance and kept; needs all measures and references."""
+    """Adds class_distance, word_distance and kept; needs all measures and references."""
     df = measures.join(broadcast_up_to(refs, MAX_BROADCAST_LANGUAGES), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     df = df.withColumns({"word_counts_": _with_rest("hits", "n_words")})
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     enough = (
         (F.col("n_chars") >= MIN_JUDGED_CHARS) & (F.col("n_words") >= MIN_JUDGED_WORDS)
         & (F.col("ref_words") >= MIN_REFERENCE_WORDS)
     )
     df = df.withColumns(
         {
-            "base_failed": failed,
             "class_distance": F.when(enough, F.round(distance(_shares("classes"), F.col("class_share")), 6)),
             "word_distance": F.when(enough, F.round(distance(_shares("word_counts_"), F.col("word_share")), 6)),
         }
@@ -179,15 +185,17 @@ def _rows(docs: DataFrame, *more: Column) -> DataFrame:
 def judged(docs: DataFrame) -> DataFrame:
     """Every row of docs (doc_id, text, lang) with its statistics, class_distance, word_distance and kept.
 
-    Texts far from their language's reference, or without its common words, are not kept. Null and empty texts have no
-    words: base_failed is true, the distances are null. Short texts and those of a
-    language with few words have null distances and are kept if the base rules keep them. A null language is one like
-    any other. Repeated rows are judged alike. Other columns are left out, so clashing names don't matter.
+    Texts far from their language's reference, or without its common words, are not kept. Common words and references
+    come from the rows that the base rules keep, so junk doesn't decide what is good. Null and empty texts have no
+    words: base_failed is true, the distances are null. Short texts and those of a language with few words in kept rows
+    have null distances and are kept if the base rules keep them. Very long texts are judged whole. A null language is
+    one like any other. Repeated rows are judged alike. An empty table gives no rows. Other columns are left out, so
+    clashing names don't matter.
     """
-    rows = _rows(docs)
-    measures = with_repeats(measured(rows, stored(common_words(rows), "common-words")))
+    rows = stored(examined(_rows(docs)), "examined")  # later passes read it
+    measures = measured(rows, stored(common_words(rows.filter("not base_failed")), "common-words"))
     measures = stored(measures.drop("text", "words"), "measures")
-    df = verdicts(measures, stored(references(measures), "references"))
+    df = verdicts(measures, stored(references(measures.filter("not base_failed")), "references"))
     return df.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
         "word_distance", "kept",
@@ -195,11 +203,14 @@ def judged(docs: DataFrame) -> DataFrame:
 
 
 def filtered(docs: DataFrame) -> DataFrame:
-    """The rows of docs that `judged` keeps, with all their columns and nothing else; no row's text is shuffled."""
-    rows = _rows(docs, F.struct(*[name(c) for c in docs.columns]).alias("row_"))
-    common = stored(common_words(rows), "common-words")
-    measures = measured(rows, common)
+    """The rows of docs that `judged` keeps, with all their columns and nothing else; no row's text is shuffled.
+
+    Null, empty and very long texts and repeated rows are judged as there; an empty table gives no rows.
+    """
+    rows = examined(_rows(docs, F.struct(*[name(c) for c in docs.columns]).alias("row_"))).filter("not base_failed")
+    rows = stored(rows.drop("text"), "examined").withColumn("text", F.coalesce("row_.text", F.lit("")))
+    measures = measured(rows, stored(common_words(rows), "common-words"))
     refs = stored(references(stored(measures.select("lang", "classes", "hits", "n_words"), "measures")), "references")
     # A filter would be pushed below the columns it uses, and work them out again; a generator stays where it is.
-    kept = verdicts(with_repeats(measures), refs).select(F.explode(F.when(F.col("kept"), F.array("row_"))).alias("row_"))
+    kept = verdicts(measures, refs).select(F.explode(F.when(F.col("kept"), F.array("row_"))).alias("row_"))
     return kept.select(*[F.col("row_").getField(c).alias(c) for c in docs.columns])

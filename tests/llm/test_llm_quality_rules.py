@@ -25,11 +25,14 @@ def distance(p, q):
 
 
 def brute(rows):
-    """Verdicts by a plain program: key is (text, lang)."""
+    """Verdicts by a plain program: key is (text, lang). Only rows that pass the base rules are references."""
     words = {t: WORD.findall(t or "") for _, t, _, _ in rows}
+    stats_of = {t: plain(t) for t in words}
+    failing = {t: n[0] < 20 or 100 * n[4] > 30 * n[0] for t, n in stats_of.items()}
     common, refs = {}, {}
     for lang in {r[2] for r in rows}:
-        short = Counter(w for r in rows if r[2] == lang for w in words[r[1]] if len(w) <= q.COMMON_CHARS)
+        own = [w for r in rows if r[2] == lang and not failing[r[1]] for w in words[r[1]]]
+        short = Counter(w for w in own if len(w) <= q.COMMON_CHARS and any(c.isalnum() for c in w))
         n = sum(short.values())
         common[lang] = [w for w, c in sorted(short.items(), key=lambda x: (-x[1], x[0])) if c >= q.COMMON_SHARE * n]
 
@@ -45,17 +48,20 @@ def brute(rows):
 
     share = lambda xs: [x / sum(xs) for x in xs]
     for lang in common:
-        own = [r for r in rows if r[2] == lang]
+        own = [r for r in rows if r[2] == lang and not failing[r[1]]]
         total = lambda lists: [sum(x) for x in zip(*lists, strict=True)]
         refs[lang] = total([classes(r[1]) for r in own]), total([hits(r[1], lang) for r in own])
     out = []
     for i, text, lang, _ in rows:
-        stats = plain(text)
-        failed = stats[0] < 20 or 100 * stats[4] > 30 * stats[0]
-        far = None, None
+        stats, failed = stats_of[text], failing[text]
+        far, lacks = (None, None), False
         if stats[0] >= q.MIN_JUDGED_WORDS and len(text) >= q.MIN_JUDGED_CHARS and sum(refs[lang][1]) >= q.MIN_REFERENCE_WORDS:
             far = tuple(round(distance(share(a), share(b)), 6) for a, b in zip((classes(text), hits(text, lang)), refs[lang], strict=True))
-        kept = not failed and not (far[0] is not None and (far[0] > q.MAX_CLASS_DISTANCE or far[1] > q.MAX_WORD_DISTANCE))
+            usual, found = share(refs[lang][1])[:-1], hits(text, lang)[:-1]
+            expected = stats[0] * sum(usual)
+            lacks = sum(found) < min(q.MIN_COMMON_SHARE * expected, expected - q.COMMON_DEVIATIONS * math.sqrt(expected))
+            lacks |= stats[0] * sum(x for x, n in zip(usual, found, strict=True) if not n) > q.MAX_MISSING
+        kept = not failed and not lacks and not (far[0] is not None and (far[0] > q.MAX_CLASS_DISTANCE or far[1] > q.MAX_WORD_DISTANCE))
         out.append((i, *stats, failed, *far, kept))
     return out
 
@@ -102,6 +108,42 @@ def test_wrong_language_and_gibberish_are_not_kept(make):
     assert sum(not verdict[r[0]] for r in clean) == 0
 
 
+def mixed(seed, failing=0):
+    """Clean, foreign and repetitive texts of two languages."""
+    rng = random.Random(seed)
+    common = {"en": "the of and to in is a that".split(), "de": "der die und das den von zu in".split()}
+
+    def text(lang, n, share=0.3):
+        return " ".join(rng.choice(common[lang]) if rng.random() < share else "".join(rng.choices("abcdefgh", k=8)) for _ in range(n))
+
+    rows = [(i, text(lang, rng.randint(60, 300)), lang, "a") for i, lang in enumerate(["en", "de"] * 60)]
+    rows += [(300 + i, text("de", 150), "en", "a") for i in range(5)] + [(310 + i, text("en", 120, 0), "en", "a") for i in range(5)]
+    return rows + [(400 + i, "buy this now and call me at once please\n" * 200, "en", "a") for i in range(failing)]
+
+
+def test_missing_common_words_as_a_plain_program(make):
+    rows = mixed(3, failing=4)
+    got = sorted((r.doc_id, r.base_failed, r.kept) for r in q.judged(make(rows)).collect())
+    want = brute(rows)
+    assert got == sorted((r[0], r[6], r[-1]) for r in want)
+    assert not any(kept for i, _, kept in got if i >= 300) and all(kept for i, _, kept in got if i < 300)
+
+
+def test_rejected_rows_do_not_decide_what_is_kept(make):
+    """A language flooded by one repeated line, ten times as many words as all others."""
+    rows = mixed(4)
+    before = {r.doc_id: r.kept for r in q.judged(make(rows)).collect()}
+    flood = [(1000 + i, "same old line of words that goes on and on\n" * 250, "en", "a") for i in range(120)]
+    after = {r.doc_id: r.kept for r in q.judged(make(rows + flood)).collect()}
+    assert all(after[i] == kept for i, kept in before.items()) and not any(after[r[0]] for r in flood)
+    assert sorted(r.doc_id for r in q.filtered(make(rows + flood)).collect()) == sorted(i for i, kept in before.items() if kept)
+
+
+def test_a_language_of_rejected_rows_only(make):
+    rows = [(i, "same old line of words that goes on and on\n" * 50, "xx", "a") for i in range(30)]
+    assert not any(r.kept for r in q.judged(make(rows)).collect()) and q.filtered(make(rows)).count() == 0
+
+
 def test_empty(empty):
     assert q.judged(empty).count() == 0
     assert q.filtered(empty).count() == 0
