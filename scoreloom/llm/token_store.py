@@ -169,8 +169,9 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
 def write(docs: DataFrame, tokenizer: str, end: int, folder: str | None = None) -> DataFrame:
     """Writes the ids of every text, each with `end` after it, in ascending doc_id order; returns the shards.
 
-    A null text is empty and has only `end`; null ids come first, rows with equal ids follow each other by text. An
-    empty table makes no file. Other columns are left out. A task writes its file under a name of its own and names
+    A null text is empty and has only `end`; null ids come first, rows with equal ids follow each other by a hash of the
+    text and are dealt like any others, however many they are. Very long texts are encoded whole. An empty table makes
+    no file. Other columns are left out. A task writes its file under a name of its own and names
     it last, in the list of shards; files of lost attempts are in no list. `folder`: a URI that pyarrow opens and all
     executors share, else a new one beside the checkpoints.
     """
@@ -194,7 +195,9 @@ def write(docs: DataFrame, tokenizer: str, end: int, folder: str | None = None)
             shard = Shard(part, path, len(writer.lengths), sum(writer.lengths), len(writer.frame_docs), writer.bytes)
             yield pa.RecordBatch.from_pylist([shard._asdict()], SHARD_ARROW)
 
-    ordered = documents(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = documents(docs).withColumns({"hash_": F.xxhash64("text"), "place_": F.monotonically_increasing_id()})
+    order = ("doc_id", "hash_", "place_")
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     listed = stored(ordered.mapInArrow(shards, SHARD), "shards")
     scheme = re.match(r"([^:/]+):", folder)
     if scheme and scheme[1] != "file":

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 import zstandard
 
 from scoreloom.llm import packing, token_store
@@ -27,7 +28,8 @@ def test_cached_words_give_the_ids_of_whole_texts(edge_rows):
 
 @pytest.fixture(scope="module")
 def ordered(edge_rows):
-    rows = sorted(edge_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    place = lambda text: np.uint64(xxhash.xxh64_intdigest((text or "").encode(), 42)).astype(np.int64)
+    rows = sorted(edge_rows, key=lambda r: (r[0] is not None, r[0] or 0, place(r[1])))
     return [(i, ids) for (i, *_), ids in zip(rows, plain([t for _, t, _, _ in rows]), strict=True)]
 
 
@@ -38,6 +40,17 @@ def test_files_read_back(edge, ordered):
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in token_store.read_back(shards).collect())
 
 
+def test_rows_without_id_are_dealt_to_many_files(spark, make):
+    rows = [(None if i % 2 else i, f"text {i} " * 9 if i % 4 else "the same", "en", "a") for i in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = token_store.write(make(rows), tokenizer(), END_ID).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    docs = sorted(r.docs for r in shards)
+    assert sum(docs) == len(rows) and docs[-1] <= 2 * docs[len(docs) // 2]
+
+
 def test_frames_are_independent_and_only_wanted_ones_are_read(ordered):
     out = io.BytesIO()
     writer = token_store.Writer(out, 2, frame_ids=500)
