@@ -27,6 +27,24 @@ def test_likeness_follows_shared_paragraphs():
     assert f.likeness(f.of(a), f.of(a[::-1])) == 1.0
 
 
+def test_repeated_paragraphs_count_as_often_as_they_stand():
+    """Half of the paragraphs replaced: by distinct ones, by copies of one, in texts of equal or of distinct lines."""
+    errors = []
+    for seed in range(40):
+        same, distinct = [f"line {seed}"] * 200, [f"{seed} {i}" for i in range(200)]
+        for text in (same, distinct):
+            for other in ([f"new {seed} {i}" for i in range(100)], [f"new {seed}"] * 100):
+                errors.append(f.likeness(f.of(text), f.of(text[:100] + other)) - 0.5)
+    assert np.abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08  # an eighth of a half, and some
+
+
+def test_copies_do_not_wrap_to_nothing():
+    a = f.of(["x"])
+    for _ in range(16):  # 65,536 copies
+        a = a + a
+    assert f.likeness(a, f.of(["y"])) < 0.3
+
+
 def test_matches_plain_program(edge, edge_rows, empty, make):
     got = f.compared(edge).collect()
     texts = {}
