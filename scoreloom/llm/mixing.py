@@ -24,9 +24,10 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def key_of(doc_id: Column, seed: str = SEED) -> Column:
-    """A key that any engine can make: the MD5 of seed and id."""
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def key_of(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A key that any engine can make: the MD5 of seed and id, then that of the text, for rows of one id or none."""
+    id_ = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    return F.concat(id_, F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, max_times: int = MAX_TIMES) -> DataFrame:
@@ -78,40 +79,54 @@ def cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
     return joined.select(F.col("source").alias("cut_source"), "source_size", "target", "epochs", "cut_key", "cut_rest", "cut_size")
 
 
-def taken() -> Column:
-    """Words taken of a row (source, key, size) joined with its source's cut.
-
-    Repeated rows have one key; if the cut falls on them, they share its rest by size, rounded down.
-    """
-    part = F.floor(F.col("cut_rest") * F.col("size") / F.col("cut_size")).cast("long")
-    last = F.when(F.col("key") < F.col("cut_key"), F.col("size")).when(F.col("key") == F.col("cut_key"), part).otherwise(0)
+def taken(place: Column) -> Column:
+    """Words taken of a row (key, size) joined with its source's cut; `place`: rows of its key before it."""
+    at = F.greatest(F.lit(0), F.least(F.col("size"), F.col("cut_rest") - place * F.col("size")))
+    last = F.when(F.col("key") < F.col("cut_key"), F.col("size")).when(F.col("key") == F.col("cut_key"), at).otherwise(0)
     return F.col("epochs") * F.col("size") + F.coalesce(last, F.lit(0))
 
 
-def _with_cuts(docs: DataFrame, carried: Column) -> DataFrame:
+def _taken(docs: DataFrame, carried: Column) -> DataFrame:
+    """(doc_id, source, key, size, carried, taken) with the numbers of the source's cut.
+
+    Rows at a cut are equal in all that decides. They are written once with the part they are in, and numbered by
+    parts, so that many of them are not numbered by one task; any of them may be the one taken in part.
+    """
     source, doc_id = F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("doc_id")
-    rows = stored(docs.select(source, key_of(F.col("doc_id")).alias("key"), size_of(F.col("text")).alias("size")), "sizes")
+    key, size = key_of(F.col("doc_id"), F.col("text")).alias("key"), size_of(F.col("text")).alias("size")
+    rows = stored(docs.select(source, key, size), "sizes")
     found = stored(cuts(rows, targets(rows)), "cuts")
-    full = docs.select(doc_id, source, key_of(F.col("doc_id")).alias("key"), size_of(F.col("text")).alias("size"), carried.alias("carried"))
-    return full.join(broadcast_up_to(found, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("cut_source")), "left")
+    small = broadcast_up_to(found, MAX_BROADCAST_SOURCES)
+    full = docs.select(doc_id, source, key, size, carried.alias("carried"))
+    full = full.join(small, F.col("source").eqNullSafe(F.col("cut_source")), "left")
+    at_cut = F.coalesce(F.col("key") == F.col("cut_key"), F.lit(False))
+    others = full.filter(~at_cut).withColumn("taken", taken(F.lit(0)))
+    equal = stored(full.filter(at_cut).withColumn("part", F.spark_partition_id()), "at-cuts")
+    parts = equal.groupBy(F.col("cut_source").alias("s"), F.col("part").alias("p")).agg(F.count("*").alias("held"))
+    before = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("s", "p", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("cut_source", "part").orderBy("key"))
+    placed = equal.withColumn("inside", inside).join(parts, F.col("cut_source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    placed = placed.withColumn("taken", taken(F.col("before") + F.col("inside") - 1))
+    return others.unionByName(placed.select(*others.columns))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of (doc_id, text, source).
 
-    A null or empty text has size 0 and gives nothing. A null source is one like any other, null ids have a key of
-    their own. Repeated rows are taken alike. An empty table gives no rows; other columns are left out.
+    A null or empty text has size 0 and gives nothing; very long ones count whole. A null source is one like any other.
+    Rows of one id, or of none, follow each other by the hash of the text; of equal rows at a cut some are taken, and
+    at most one row of a source is taken in part. An empty table gives no rows; other columns are left out.
     """
-    df = _with_cuts(docs, F.lit(0))
-    return df.select("doc_id", "source", "size", "source_size", "target", taken().alias("taken"))
+    return _taken(docs, F.lit(0)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def resampled(docs: DataFrame) -> DataFrame:
     """docs as the mix takes them, with all their columns and nothing else: whole copies, and at the cut the first words.
 
-    A document without words is not taken.
+    A document without words is not taken. Rows are as in `mixed`; an empty table gives no rows.
     """
-    df = _with_cuts(docs, F.struct(*[name(c) for c in docs.columns])).withColumn("taken", taken())
+    df = _taken(docs, F.struct(*[name(c) for c in docs.columns]))
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0).cast("int")
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     whole = F.array_repeat(F.lit(-1), copies)

@@ -74,7 +74,7 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     "op8_source_mix",
     """
     WITH RECURSIVE rows AS (
-      SELECT doc_id, source, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key,
+      SELECT doc_id, source, md5('mix:' || coalesce(doc_id::VARCHAR, '')) || md5(coalesce(text, '')) AS key,
              len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
       FROM documents
     ), sources AS (
@@ -96,7 +96,7 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
       FROM levels
     ), placed AS (
       SELECT r.doc_id, r.size, g.source_size, g.target, floor(g.target)::BIGINT AS budget,
-             sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key, r.doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
+             sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
       FROM rows r JOIN goals g ON r.source IS NOT DISTINCT FROM g.source
     )
     SELECT doc_id, size, source_size, target,
