@@ -1,5 +1,9 @@
 """Licence scan: a positional index of each template's rarest words, relative positions, and mandatory key phrases.
 
+A rare word in a text is an anchor. From it the template's other words are followed to both sides, each to its nearest
+place within GAP words, so that words put in or left out do not break a notice. The key phrases must be among what is
+found, each in one piece.
+
 Everything is DataFrame functions. A text is scanned in its own row; only how many texts hold each template word is
 counted over all rows, at most one row for each word of the templates.
 """
@@ -7,7 +11,7 @@ counted over all rows, at most one row for each word of the templates.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -38,8 +42,8 @@ class Template(NamedTuple):
 
 #: Public licence notices, as they are put into files.
 TEMPLATES = (
-    Template("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.", ("general public license",)),
-    Template("gpl", "This work is licensed under the GNU General Public License, version 3.", ("general public license",)),
+    Template("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.", ("gnu general public license",)),
+    Template("gpl", "This work is licensed under the GNU General Public License, version 3.", ("gnu general public license",)),
     Template("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.", ("lesser general public license",)),
     Template("apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at", ("apache license",)),
     Template("apache", "Licensed under the Apache License, Version 2.0.", ("apache license",)),
@@ -54,8 +58,8 @@ TEMPLATES = (
     Template("all-rights-reserved", "All rights reserved.", ("all rights reserved",)),
 )
 
-#: A template stands at a place if this share of its words do, each where it should.
-LEAST_SHARE = 0.6
+#: A template stands at a place if this share of its words do, in order; so many other words may stand between two.
+LEAST_SHARE, GAP = 0.6, 3
 
 
 def _split(text: str) -> list[str]:
@@ -102,8 +106,8 @@ def _phrase_places(phrases: Mapping[str, str]) -> Column:
     return F.concat(*[at(p) for p in phrases])
 
 
-def _aligned(templates: tuple[Template, ...], chosen: list[list[str]]) -> Column:
-    """(template, begin) where an anchor in the text and in a template gives it; begin may be before the text."""
+def _posted(templates: tuple[Template, ...], chosen: list[list[str]]) -> Column:
+    """(t, begin, i, at) for each place `at` of the text with an anchor, which is word i of template t, in this order."""
     postings: dict[str, list[tuple[int, int]]] = {}
     for t, (template, own) in enumerate(zip(templates, chosen, strict=True)):
         for i, w in enumerate(_split(template.text)):
@@ -116,19 +120,85 @@ def _aligned(templates: tuple[Template, ...], chosen: list[list[str]]) -> Column
         F.transform("words", lambda w, i: F.when(F.array_contains(F.col("anchored"), w), F.struct(w.alias("w"), i.alias("i")))),
         lambda h: h.isNotNull(),
     )
-    begins = F.transform(hits, lambda h: F.transform(lists[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["i"]).alias("begin"))))
-    return F.array_distinct(F.flatten(begins))
+    begins = F.transform(
+        hits,
+        lambda h: F.transform(
+            lists[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["i"]).alias("begin"), p["i"].alias("i"), h["i"].alias("at"))
+        ),
+    )
+    return F.array_sort(F.flatten(begins))
 
 
-def _share(templates: tuple[Template, ...], place: Column) -> Column:
-    """Share of a template's words that stand where they should if it begins at `begin`."""
-    words = F.array(*[F.array(*[F.lit(w) for w in _split(t.text)]) for t in templates])
-    own = F.get(words, place["t"])
-    found = F.aggregate(
-        F.transform(own, lambda w, i: (F.get(F.col("words"), place["begin"] + i) == w) & (place["begin"] + i >= 0)),
-        F.lit(0), lambda n, x: n + F.coalesce(x, F.lit(False)).cast("int"),
-    )
-    return found / F.size(own)
+def _first_of_each(posted: str) -> Column:
+    """Of anchors with one (t, begin), which lie on one line, only the first is followed."""
+
+    def other(p: Column, k: Column) -> Column:
+        before = F.get(F.col(posted), k - 1)
+        return (k == 0) | (before["t"] != p["t"]) | (before["begin"] != p["begin"])
+
+    return F.filter(posted, other)
+
+
+def _chained(templates: tuple[Template, ...], p: Column) -> Column:
+    """(t, found) with (i, begin) of each word of the template found in order from an anchor."""
+    own = F.get(F.array(*[F.array(*[F.lit(w) for w in _split(t.text)]) for t in templates]), p["t"])
+    none = F.array().cast("array<struct<i:int,begin:int>>")
+
+    def follow(places: Column, window: Callable[[Column], Column], sign: int) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            def reached(at: Column) -> Column:
+                to = state["at"] + sign * at
+                word = F.struct(i.alias("i"), (to - i).alias("begin"))
+                return F.when(at > 0, F.struct(to.alias("at"), F.array_append(state["found"], word).alias("found"))).otherwise(state)
+
+            def place(near: Column) -> Column:
+                """The word's place, but 0 for one further on where the template's next word stands here: it is left out."""
+                at = F.array_position(near, F.get(own, i)).cast("int")
+                return F.when((at > 1) & F.coalesce(F.get(near, F.lit(0)) == F.get(own, i + sign), F.lit(False)), 0).otherwise(at)
+
+            def once(value: Column, use: Callable[[Column], Column]) -> Column:
+                """`use` of a value that is worked out once, as the only one of an array."""
+                return F.get(F.transform(F.array(value), use), F.lit(0))
+
+            return once(once(window(state["at"]), place), reached)
+
+        return F.aggregate(places, F.struct(p["at"].alias("at"), none.alias("found")), step)["found"]
+
+    def after(at: Column) -> Column:
+        return F.slice("words", at + 2, GAP + 1)
+
+    def before(at: Column) -> Column:
+        begin = F.greatest(at - GAP - 1, F.lit(0))
+        return F.reverse(F.slice("words", begin + 1, at - begin))
+
+    last, no = F.size(own) - 1, F.array().cast("array<int>")
+    up = F.when(p["i"] < last, F.sequence(p["i"] + 1, last)).otherwise(no)
+    down = F.when(p["i"] > 0, F.sequence(p["i"] - 1, F.lit(0), F.lit(-1))).otherwise(no)
+    here = F.array(F.struct(p["i"].alias("i"), p["begin"].alias("begin")))
+    found = F.concat(here, follow(up, after, 1), follow(down, before, -1))
+    return F.struct(p["t"].alias("t"), found.alias("found"))
+
+
+def _scored(templates: tuple[Template, ...], p: Column) -> Column:
+    """(t, share, keyed): the share of the template's words found, and whether all its key phrases are, in one piece."""
+    keys = F.get(F.array(*[F.array(*[F.array(*map(F.lit, places)) for places in _key_places(t)]) for t in templates]), p["t"])
+    size = F.get(F.array(*[F.lit(len(_split(t.text))) for t in templates]), p["t"])
+
+    def whole(key: Column) -> Column:
+        begins = F.filter(p["found"], lambda x: F.array_contains(key, x["i"]))["begin"]
+        return (F.size(begins) == F.size(key)) & (F.size(F.array_distinct(begins)) == 1)
+
+    return F.struct(p["t"].alias("t"), (F.size(p["found"]) / size).alias("share"), F.forall(keys, whole).alias("keyed"))
+
+
+def _key_places(template: Template) -> list[range]:
+    """Which words of a template are those of each key phrase, where it stands first."""
+    words, places = _split(template.text), []
+    for key in template.keys:
+        own = _split(key)
+        first = next(i for i in range(len(words)) if words[i : i + len(own)] == own)
+        places.append(range(first, first + len(own)))
+    return places
 
 
 def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrases: Mapping[str, str] = PHRASES) -> DataFrame:
@@ -136,8 +206,8 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrase
 
     Places are counted in words from 0. labels has the base labels and those of the templates found; score is the
     largest share of a template's words found where they should be, 1 for a base phrase. A null or empty text has no
-    words, empty labels, null places and score 0. Repeated rows are scanned alike, and count each in the IDF. Other
-    columns are left out.
+    words, empty labels, null places and score 0. Very long texts are scanned whole. Repeated rows are scanned alike,
+    and count each in the IDF. An empty table gives no rows. Other columns are left out.
     """
     rows = documents(docs).select("doc_id", words_of(F.col("text")).alias("words"))
     chosen = anchors(rows, templates)
@@ -146,14 +216,12 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrase
     first_words = F.array(*[F.lit(p.split()[0]) for p in phrases])
     none = F.array().cast("array<struct<place:bigint,label:string>>")
     df = df.withColumn("base", F.when(F.arrays_overlap(F.col("words"), first_words), _phrase_places(phrases)).otherwise(none))
-    joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    df = df.withColumn("aligned", F.when(F.size("anchored") > 0, _aligned(templates, chosen)))
-    scored = F.transform("aligned", lambda p: F.struct(p["t"].alias("t"), _share(templates, p).alias("share")))
-    df = df.withColumn("scored", F.filter(scored, lambda p: p["share"] >= LEAST_SHARE))
-    df = df.withColumn("joined", F.when(F.size("scored") > 0, joined))
-    keys = F.array(*[F.array(*[F.lit(f" {k} ") for k in t.keys]) for t in templates])
-    verified = F.filter("scored", lambda p: F.forall(F.get(keys, p["t"]), lambda k: F.contains(F.col("joined"), k)))
-    df = df.withColumn("verified", F.coalesce(verified, F.array().cast("array<struct<t:int,share:double>>")))
+    df = df.withColumn("posted", F.when(F.size("anchored") > 0, _posted(templates, chosen)))
+    df = df.withColumn("lines", _first_of_each("posted"))
+    df = df.withColumn("chains", F.transform("lines", lambda p: _chained(templates, p)))
+    df = df.withColumn("scored", F.transform("chains", lambda p: _scored(templates, p)))
+    verified = F.filter("scored", lambda p: (p["share"] >= LEAST_SHARE) & p["keyed"])
+    df = df.withColumn("verified", F.coalesce(verified, F.array().cast("array<struct<t:int,share:double,keyed:boolean>>")))
     labels = F.array(*[F.lit(t.label) for t in templates])
     base = F.array_distinct(F.col("base.label"))
     places = F.col("base.place")

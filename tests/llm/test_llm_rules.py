@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from scoreloom.llm import licenses, pii, url_filter
 from scoreloom.llm.queries import URL_RULES
 
@@ -167,3 +169,44 @@ def test_several_licences_in_one_text(make, edge_rows):
 def test_rare_words_when_all_texts_are_notices(make):
     rows = [(i, licenses.TEMPLATES[0].text, "en", "a") for i in range(20)]
     assert {(r.labels, r.score) for r in licenses.scanned(make(rows)).collect()} == {("gpl", 1.0)}
+
+
+def with_words(text, n, at):
+    words = text.split()
+    return " ".join([*words[:at], *["zzz"] * n, *words[at:]])
+
+
+def key_words(template):
+    """Places of the words of key phrases."""
+    return {i for places in licenses._key_places(template) for i in places}
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_words_put_into_notices_or_left_out(make, edge_rows, n):
+    """At each place that does not part a key phrase; and each other word of a long notice left out."""
+    rows, wanted = [], {}
+
+    def add(label, words):
+        i = 1000 + len(rows)
+        rows.append((i, f"Some words. {' '.join(words)} More words.", "en", "a"))
+        wanted[i] = label
+
+    for t in licenses.TEMPLATES:
+        words, keys = licenses._split(t.text), licenses._key_places(t)
+        for at in range(1, len(words)):
+            if not any(at in range(k[1], k[-1] + 1) for k in keys):
+                add(t.label, [*words[:at], *["zzz"] * n, *words[at:]])
+        for at in range(len(words)):
+            if len(words) > 12 and at not in key_words(t):
+                add(t.label, words[:at] + words[at + 1 :])
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scanned(make(edge_rows + rows)).collect()}
+    assert len(wanted) > 200 and {rows[i - 1000][1]: label for i, label in wanted.items() if label not in got[i]} == {}
+
+
+def test_key_phrases_stand_whole_in_the_same_window(make, edge_rows):
+    by = {t.label: t.text for t in licenses.TEMPLATES}
+    body = "in source and binary forms, with or without modification, are permitted provided that the"
+    far = f"Redistribution and use. The following conditions are met? {'other words here ' * 20} {body} terms hold."
+    rows = [(900, far), (901, by["bsd"]), (902, by["lgpl"]), (903, "All the rights we have are reserved."), (904, "Released under the MIT style License.")]
+    got = {r.doc_id: r.labels for r in licenses.scanned(make(edge_rows + [(*r, "en", "a") for r in rows])).collect()}
+    assert [got[i] for i, _ in rows] == ["", "bsd", "lgpl", "", ""]
