@@ -11,6 +11,7 @@ from scoreloom.catalog.sampling import _space_sql
 from scoreloom.operators import metrics, rank, report, search
 from scoreloom.plans import steps
 from scoreloom.session import materialise, scratch_path
+from scoreloom.sources import delimited, store
 from scoreloom.sources.tables import table
 
 # experiment, score over line items, step, comparison, model, family, features, sampling
@@ -224,6 +225,38 @@ def best_per_group(spark, sf):
     return rank.best_per_group(_candidates(spark, sf), ["Dataset"], "ROC", TIE)
 
 
+_PLACE = " ".join(f"WHEN '{e[0]}' THEN {i}" for i, e in enumerate(EXPERIMENTS))
+
+
+@query(
+    "best_in_input_order",
+    _SQL + f', placed AS (SELECT "Dataset", experiment, round("ROC", 1) AS "ROC", CASE experiment {_PLACE} END AS place FROM m)\n'
+    "SELECT kind AS \"Kind\", \"Dataset\", experiment, \"ROC\" FROM (SELECT *, row_number() OVER (PARTITION BY \"Dataset\" ORDER BY \"ROC\" DESC, place) AS first FROM placed)"
+    " CROSS JOIN (SELECT unnest(['parquet', 'csv', 'results']) AS kind) WHERE first = 1",
+)
+def best_in_input_order(spark, sf):
+    """The best experiment of each dataset by a coarse ROC, the first in its files of equal ones.
+
+    The rows are written in the order of the experiments, as tables of several files, and read back.
+    """
+    place = F.array_position(F.array(*[F.lit(e[0]) for e in EXPERIMENTS]), F.col("experiment"))
+    rows = C.rounded(_measured(spark, sf), "ROC", digits=1).select("Dataset", "experiment", "ROC", place.alias("place"))
+    ordered = rows.repartitionByRange(4, "place", "Dataset").sortWithinPartitions("place", "Dataset").drop("place")
+    base = scratch_path(spark, "ordered")
+    ordered.write.parquet(f"{base}/rows")
+    ordered.write.option("header", True).csv(f"{base}/rows.csv")
+    store.write_results(ordered, f"{base}/results", "05_model_search")
+    found, _ = delimited.first_available(spark, {"parquet": [f"{base}/rows"], "csv": [f"{base}/rows.csv"]}, ordered=True)
+    found["results"] = store.read_results(spark, f"{base}/results", "05_model_search")
+    best = [
+        rank.best_per_group(df.withColumn("ROC", F.col("ROC").cast("double")), ["Dataset"], "ROC").select(
+            F.lit(kind).alias("Kind"), "Dataset", "experiment", "ROC"
+        )
+        for kind, df in found.items()
+    ]
+    return report.union_results(best)
+
+
 @query("candidate_rank", _SQL + 'SELECT "Dataset", "CandidateLabel", "ROC", CAST(row_number() OVER (PARTITION BY "Dataset" ORDER BY "ROC" DESC, "CandidateLabel") AS INTEGER) AS "CandidateRank" FROM cand')
 def candidate_rank(spark, sf):
     return rank.candidate_rank(_candidates(spark, sf), ["Dataset"], "ROC", TIE).select("Dataset", TIE, "ROC", "CandidateRank")

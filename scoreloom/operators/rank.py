@@ -13,6 +13,9 @@ from scoreloom.session import bounded_side, materialise
 
 PREFIX_DIGITS = 4  # 16**4 key prefixes per group
 
+#: Where a row stood in the files it was read from; carried along to settle ties.
+INPUT_ORDER = "InputOrder"
+
 
 def exact_rank(
     df: DataFrame, group: Sequence[str], key: str, tie: str, out: str = "rank", digits: int = PREFIX_DIGITS
@@ -129,11 +132,17 @@ def running_totals(
 def best_per_group(
     df: DataFrame, group: Sequence[str], metric: str = "ROC", ordinal: str | None = None, keep: int = 1
 ) -> DataFrame:
-    """Top rows by metric, nulls last; ties go to the smaller `ordinal`."""
-    order = [F.col(metric).desc_nulls_last()]
-    if ordinal:
-        order.append(F.col(ordinal).asc())
-    w = Window.partitionBy(*group).orderBy(*order)
+    """Top rows by metric, nulls last; ties go to the smaller `ordinal`.
+
+    Without one that is the order of input, if the rows carry it, else the values of all other columns, so that equal
+    input gives equal output.
+    """
+    if ordinal is None:
+        others = [f"`{c}`" for c, kind in df.dtypes if c not in (*group, metric) and not kind.startswith("map")]
+        ties = [INPUT_ORDER] if INPUT_ORDER in df.columns else others
+    else:
+        ties = [ordinal]
+    w = Window.partitionBy(*group).orderBy(F.col(metric).desc_nulls_last(), *[F.col(c).asc() for c in ties])
     return df.withColumn("_place", F.row_number().over(w)).filter(F.col("_place") <= keep).drop("_place")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.numeric import gain_percent
-from scoreloom.operators.rank import best_per_group
+from scoreloom.operators.rank import INPUT_ORDER, best_per_group
 
 COMPARED = ("ROC", "AP", "F1")
 
@@ -25,9 +25,6 @@ STEP_ORDER: Mapping[str, int] = {
 BASELINE_STEP = "02_rf_morgan_baseline"
 ABLATION_STEP = "03_feature_ablation"
 
-#: Where a row stood in its result table; carried along if the table has it, to settle ties.
-INPUT_ORDER = "InputOrder"
-
 
 def union_results(tables: Sequence[DataFrame]) -> DataFrame:
     """Row union by name; a column missing from a table is null there."""

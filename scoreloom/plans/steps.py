@@ -319,19 +319,18 @@ def ensembles(
 
 def collect(
     spark: SparkSession, sources: Mapping[str, Sequence[str]], datasets: Sequence[str], baseline: str = "morgan",
-    tie: str = report.INPUT_ORDER,
+    tie: str = report.INPUT_ORDER, multi_line: bool = False,
 ) -> dict[str, DataFrame]:
     """Read every step's result table and report candidates, progression and the final choice.
 
-    Of rows with the same ROC the first in its table is chosen.
+    Of rows with the same ROC the first in its table is chosen, by file and by row in the file, whatever tasks read it.
 
     `sources` maps a step to its alternatives in order of preference; a step
     without a readable table is reported as missing and left out.
     """
-    found, read = delimited.first_available(spark, sources)
+    found, read = delimited.first_available(spark, sources, multi_line, ordered=True)
     used = {r.Step: r.SourceUsed for r in read.collect()}
-    read_order = {step: table.withColumn(report.INPUT_ORDER, F.monotonically_increasing_id()) for step, table in found.items()}
-    tables = [report.normalize(table, step, used[step], datasets) for step, table in read_order.items()]
+    tables = [report.normalize(table, step, used[step], datasets) for step, table in found.items()]
     tables = [t for t in tables if t is not None]
     if not tables:
         raise RuntimeError("no candidate results were found")

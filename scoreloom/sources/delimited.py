@@ -5,8 +5,12 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scoreloom.operators.rank import INPUT_ORDER
 
 SEPARATORS = (";", ",")
 
@@ -39,29 +43,57 @@ def read_delimited(spark: SparkSession, path: str, multi_line: bool = False) ->
     return df.toDF(*[c.lstrip("\ufeff") for c in df.columns]), sep
 
 
-def read_any(spark: SparkSession, path: str) -> DataFrame | None:
-    """A parquet folder or a delimited file; None when it cannot be read."""
+def _is_text(path: str) -> bool:
+    return path.endswith((".csv", ".txt"))
+
+
+def in_input_order(df: DataFrame, text: bool, out: str = INPUT_ORDER) -> DataFrame:
+    """A fresh scan with column `out`, which sorts rows as they stand: by file, then by place in the file.
+
+    Parquet knows the row of a file. Text knows the block of a file that a task reads, and rows of a block are numbered
+    as they are read. Neither depends on how the scan is cut into tasks. A table that brings the column keeps it.
+    """
+    if out in df.columns:
+        return df
+    zero = F.lit(0).cast("long")
+    place = (F.col("_metadata.file_block_start"), F.monotonically_increasing_id()) if text else (F.col("_metadata.row_index"), zero)
+    order = F.struct(F.col("_metadata.file_path").alias("file"), place[0].alias("at"), place[1].alias("row"))
+    return df.select("*", order.alias(out))
+
+
+def read_any(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False) -> DataFrame | None:
+    """A parquet folder or a delimited file; None when it cannot be read. `ordered` adds the order of input."""
     try:
-        if path.endswith((".csv", ".txt")):
-            return read_delimited(spark, path)[0]
-        return spark.read.parquet(path)
-    except (AnalysisException, ValueError):
+        df = read_delimited(spark, path, multi_line)[0] if _is_text(path) else spark.read.parquet(path)
+    except (PySparkException, Py4JJavaError, ValueError):
         return None
+    return in_input_order(df, _is_text(path)) if ordered else df
+
+
+def _rows(df: DataFrame | None) -> int:
+    """Number of rows; 0 for a table that turns out to be broken when it is read."""
+    try:
+        return 0 if df is None else df.count()
+    except (PySparkException, Py4JJavaError):
+        return 0
 
 
 def first_available(
-    spark: SparkSession, sources: Mapping[str, Sequence[str]]
+    spark: SparkSession, sources: Mapping[str, Sequence[str]], multi_line: bool = False, ordered: bool = False
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Per step the first readable, non-empty alternative, and a report of what was read."""
+    """Per step the first readable, non-empty alternative, and a report of what was read.
+
+    `multi_line` and `ordered` are those of `read_any`.
+    """
     found: dict[str, DataFrame] = {}
     report = []
     for step, paths in sources.items():
         used, rows, status = paths[0], 0, "MISSING"
         for path in paths:
-            df = read_any(spark, path)
-            if df is not None and not df.isEmpty():
+            df = read_any(spark, path, multi_line, ordered)
+            if held := _rows(df):
                 found[step] = df
-                used, rows, status = path, df.count(), "OK"
+                used, rows, status = path, held, "OK"
                 break
         report.append((step, status, used, rows))
     return found, spark.createDataFrame(report, "Step string, Status string, SourceUsed string, Rows bigint")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.operators.featurize import Family, select_families
+from scoreloom.operators.rank import INPUT_ORDER
 
 META = ("dataset", "row_id", "text", "target")
 
@@ -45,12 +47,20 @@ def store_index(df: DataFrame, families: Sequence[Family], optional: str = "char
 
 
 def write_results(df: DataFrame, path: str, step: str, mode: str = "overwrite") -> None:
-    """A step's result rows under results/step=/Dataset=."""
+    """A step's result rows under results/step=/Dataset=, with their order: rows are sorted into folders when written.
+
+    Rows that carry an order of input keep it; others get the order of this table, after those of earlier writes.
+    """
+    if INPUT_ORDER not in df.columns:
+        written, zero = F.lit(f"{time.time_ns():020d}"), F.lit(0).cast("long")
+        order = F.struct(written.alias("file"), F.monotonically_increasing_id().alias("at"), zero.alias("row"))
+        df = df.withColumn(INPUT_ORDER, order)
     rows = df.withColumn("step", F.lit(step)).write.mode(mode).option("partitionOverwriteMode", "dynamic")
     rows.partitionBy("step", "Dataset").parquet(path)
 
 
 def read_results(spark: SparkSession, path: str, step: str | None = None) -> DataFrame:
+    """Result rows with their order."""
     df = spark.read.option("mergeSchema", "true").parquet(path)
     return df if step is None else df.filter(F.col("step") == step)
 

@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from scoreloom.operators import featurize, search
+from scoreloom.operators import featurize, rank, search
 from scoreloom.plans import steps
+from scoreloom.sources import delimited
 from scoreloom.sources.tables import by_target, labelled_documents
 
 FAMILIES = [f for f in featurize.text_families() if f.name in ("keys", "desc")]
@@ -63,6 +64,38 @@ def test_first_row_of_a_table_wins_a_tie(spark, tmp_path):
     assert out["progression"].first().CandidateLabel == "Gatekeeper RF"
 
 
+def test_first_row_of_many_files_wins_a_tie(spark, tmp_path):
+    """Files of unlike size, so that tasks do not read them in the order of their names."""
+    best = [("Gatekeeper RF", 1), ("Second", 900), ("Best 12-model result", 5000)]
+    for n, kind in enumerate(("parquet", "csv")):
+        folder = str(tmp_path / f"five.{kind}")
+        for i, (label, copies) in enumerate(best):
+            part = spark.createDataFrame([("a", label, "RandomForest", 0.9)] * copies, "Dataset string, Comparison string, ModelType string, ROC double")
+            part.coalesce(1).write.mode("append").option("header", True).format(kind).save(f"{folder}/part={i}")
+        out = steps.collect(spark, {"05_model_search": [folder]}, ["a"])
+        assert out["progression"].first().CandidateLabel == "Gatekeeper RF"
+        ordered = delimited.read_any(spark, folder, ordered=True).orderBy(rank.INPUT_ORDER).select("Comparison").collect()
+        assert [r[0] for r in ordered] == [label for label, copies in best for _ in range(copies)]
+
+
+def test_ties_without_any_order_are_settled_by_value(spark):
+    rows = [("a", 0.9, label) for label in ("z", "b", "q")] * 3
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "Dataset string, ROC double, Label string").repartition(n)
+        assert rank.best_per_group(df, ["Dataset"]).first().Label == "b"
+
+
+def test_broken_table_falls_back(spark, tmp_path):
+    spark.range(100).withColumn("ROC", F.lit(0.5)).repartition(2).write.parquet(str(tmp_path / "broken"))
+    file = max((tmp_path / "broken").glob("part-*.parquet"))
+    file.write_bytes(file.read_bytes()[:200])
+    for crc in (tmp_path / "broken").glob(".*.crc"):
+        crc.unlink()
+    (tmp_path / "good.csv").write_text('Dataset;ROC;Note\na;0.5;"two\nlines"\n')
+    found, report = delimited.first_available(spark, {"s": [str(tmp_path / "broken"), str(tmp_path / "good.csv")]}, multi_line=True)
+    assert report.first().SourceUsed.endswith("good.csv") and [r.Note for r in found["s"].collect()] == ["two\nlines"]
+
+
 def test_ensemble_rows(rows):
     table = steps.ensembles(
         rows, FAMILIES, "quality", "keys_desc", 1.0, "oversampling", FAST, trees=4, rounds=2, views=("keys", "desc"), keep=2
