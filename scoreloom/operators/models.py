@@ -7,14 +7,15 @@ have are approximations and say so in PROFILES.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -22,19 +23,18 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VarianceThresholdSelector
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions.numeric import safe_score, threshold
-from scoreloom.operators import neighbors
+from scoreloom.operators import stages
 from scoreloom.operators.split import kfold
-from scoreloom.session import materialise
+from scoreloom.session import materialise, scratch_path
 
 SCORED = ("row_id", "target", "score", "prediction")
 MAX_DEPTH = 30  # deepest tree Spark grows
-FIT_PARTITIONS = 8  # partitions of the training rows, by a hash of their id
+FIT_PARTITIONS, PART_BYTES = 4, 32 << 20  # least partitions of the training rows, and most bytes of one
 
 
 @dataclass(frozen=True)
@@ -54,44 +54,39 @@ def balanced_weights(train: DataFrame, out: str = "weight") -> DataFrame:
     return train.withColumn(out, F.when(F.col("target") == 1, heavy).otherwise(light))
 
 
-def _scores(model, rows: DataFrame) -> DataFrame:
-    out = model.transform(rows)
-    if "probability" in out.columns:
-        score = vector_to_array("probability")[1]
-    elif "rawPrediction" in out.columns:
-        score = vector_to_array("rawPrediction")[1]
-    else:
-        score = F.col("prediction")
-    return out.select(
-        "row_id", F.col("target").cast("int").alias("target"), safe_score(score).alias("score"),
-        F.col("prediction").cast("int").alias("prediction"),
-    )
-
-
-def _scorer(model, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame], DataFrame]:
-    """Rows to scored rows; `.model` is the fitted Spark model, which can be saved."""
+def scorer(pipeline: PipelineModel, model=None) -> Callable[[DataFrame], DataFrame]:
+    """Rows to scored rows. `.pipeline` has every fitted step and can be saved; `.model` is the Spark model in it, if one."""
 
     def run(df: DataFrame) -> DataFrame:
-        return _scores(model, prepare(df))
+        return pipeline.transform(df).select("row_id", F.col("target").cast("int").alias("target"), "score", "prediction")
 
-    run.model = model
+    run.pipeline, run.model = pipeline, model
     return run
 
 
+def _fitted(*steps, model=None) -> Callable[[DataFrame], DataFrame]:
+    return scorer(PipelineModel(list(steps)), model)
+
+
 def _subset(max_features: object) -> str:
     return str(max_features)
 
 
-def fit_forest(train: DataFrame, seed: int, trees=300, depth=MAX_DEPTH, leaf=1, split=2, max_features="sqrt",
-               bootstrap=True, criterion="gini", weights="balanced", bins=32):
+def _forest(train: DataFrame, seed: int, trees, depth, leaf=1, split=2, max_features="sqrt", bootstrap=True,
+            criterion="gini", weights="balanced", bins=32, **columns):
     rows = balanced_weights(train) if weights else train.withColumn("weight", F.lit(1.0))
-    forest = RandomForestClassifier(
+    return RandomForestClassifier(
         labelCol="target", weightCol="weight", numTrees=int(trees), maxDepth=min(int(depth or MAX_DEPTH), MAX_DEPTH),
         minInstancesPerNode=max(int(leaf), math.ceil(int(split) / 2)), featureSubsetStrategy=_subset(max_features),
         bootstrap=bool(bootstrap), impurity=criterion, maxBins=bins, seed=seed, cacheNodeIds=True,
-        checkpointInterval=10, maxMemoryInMB=512,
-    )
-    return _scorer(forest.fit(rows))
+        checkpointInterval=10, maxMemoryInMB=512, **columns,
+    ).fit(rows)
+
+
+def fit_forest(train: DataFrame, seed: int, trees=300, depth=MAX_DEPTH, leaf=1, split=2, max_features="sqrt",
+               bootstrap=True, criterion="gini", weights="balanced", bins=32):
+    model = _forest(train, seed, trees, depth, leaf, split, max_features, bootstrap, criterion, weights, bins)
+    return _fitted(model, stages.Probability(), model=model)
 
 
 def fit_boosted(train: DataFrame, seed: int, rounds=100, step=0.1, depth=3, bins=32, rate=1.0, max_features="all"):
@@ -100,69 +95,50 @@ def fit_boosted(train: DataFrame, seed: int, rounds=100, step=0.1, depth=3, bins
         subsamplingRate=float(rate), featureSubsetStrategy=_subset(max_features), seed=seed, cacheNodeIds=True,
         checkpointInterval=10,
     ).fit(train)
-    return _scorer(model)
+    return _fitted(model, stages.Probability(), model=model)
 
 
 def fit_tree(train: DataFrame, seed: int, depth=8):
     model = DecisionTreeClassifier(
         labelCol="target", weightCol="weight", maxDepth=int(depth), seed=seed, cacheNodeIds=True
     ).fit(balanced_weights(train))
-    return _scorer(model)
-
-
-def _standardiser(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Variance filter and scaling fitted on training rows."""
-    keep = VarianceThresholdSelector(varianceThreshold=0.0, featuresCol="features", outputCol="_kept").fit(train)
-    scale = StandardScaler(withMean=True, withStd=True, inputCol="_kept", outputCol="_std").fit(keep.transform(train))
-
-    def run(df: DataFrame) -> DataFrame:
-        return scale.transform(keep.transform(df)).drop("features", "_kept").withColumnRenamed("_std", "features")
-
-    return run
+    return _fitted(model, stages.Probability(), model=model)
 
 
 def fit_logistic(train: DataFrame, seed: int, c=1.0, max_iter=200, weights="balanced", standard=True):
-    prepare = _standardiser(train) if standard else (lambda df: df)
+    scale = [stages.scaler(train)[0]] if standard else []
     rows = balanced_weights(train) if weights else train.withColumn("weight", F.lit(1.0))
     total = rows.agg(F.sum("weight")).first()[0]
     model = LogisticRegression(
-        labelCol="target", weightCol="weight", regParam=1.0 / (float(c) * total), elasticNetParam=0.0,
-        standardization=False, maxIter=int(max_iter),
-    ).fit(prepare(rows))
-    return _scorer(model, prepare)
+        featuresCol="scaled" if standard else "features", labelCol="target", weightCol="weight",
+        regParam=1.0 / (float(c) * total), elasticNetParam=0.0, standardization=False, maxIter=int(max_iter),
+    ).fit(scale[0].transform(rows) if standard else rows)
+    return _fitted(*scale, model, stages.Probability(), model=model)
 
 
-def _calibrated(train: DataFrame, seed: int, max_iter: int, reg: float, folds: int = 3):
-    """Linear SVM per fold with a sigmoid fitted on the held-out fold; scores are averaged."""
+def _calibrated(train: DataFrame, seed: int, max_iter: int, reg: float, features: str, folds: int = 3) -> list:
+    """Steps of a linear SVM per fold with a sigmoid fitted on the held-out fold; scores are averaged."""
     marked = train if "fold" in train.columns else _with_folds(train, folds, seed)
     marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
-    members = []
+    members, slopes, offsets = [], [], []
     for i in range(folds):
-        svm = LinearSVC(labelCol="target", weightCol="weight", maxIter=max_iter, regParam=reg, standardization=False).fit(
-            balanced_weights(marked.filter(F.col("fold") != i))
-        )
+        svm = LinearSVC(
+            featuresCol=features, labelCol="target", weightCol="weight", maxIter=max_iter, regParam=reg,
+            standardization=False, rawPredictionCol=f"margin{i}", predictionCol=f"said{i}",
+        ).fit(balanced_weights(marked.filter(F.col("fold") != i)))
         held = svm.transform(marked.filter(F.col("fold") == i)).select(
-            "target", F.array(vector_to_array("rawPrediction")[1]).alias("_m")
+            "target", F.array(vector_to_array(f"margin{i}")[1]).alias("_m")
         )
         sigmoid = LogisticRegression(labelCol="target", featuresCol="_v", predictionCol="_p", rawPredictionCol="_r",
                                      probabilityCol="_q", maxIter=100).fit(
             held.withColumn("_v", array_to_vector("_m"))
         )
-        members.append((svm, float(sigmoid.coefficients[0]), float(sigmoid.intercept)))
+        members.append(svm)
+        slopes.append(float(sigmoid.coefficients[0]))
+        offsets.append(float(sigmoid.intercept))
     marked.unpersist()
-
-    def run(df: DataFrame) -> DataFrame:
-        total = F.lit(0.0)
-        for i, (svm, a, b) in enumerate(members):
-            df = svm.transform(df).withColumn(f"_s{i}", 1.0 / (1.0 + F.exp(-(vector_to_array("rawPrediction")[1] * a + b))))
-            df = df.drop("rawPrediction", "prediction")
-            total = total + F.col(f"_s{i}")
-        out = df.withColumn("score", safe_score(total / len(members)))
-        return out.withColumn("prediction", threshold(F.col("score"))).select(
-            "row_id", F.col("target").cast("int").alias("target"), "score", "prediction"
-        )
-
-    return run
+    columns = [f"margin{i}" for i in range(folds)]
+    return [*members, stages.Margin(columns=columns, slopes=slopes, offsets=offsets)]
 
 
 def _with_folds(train: DataFrame, folds: int, seed: int) -> DataFrame:
@@ -173,107 +149,64 @@ def _with_folds(train: DataFrame, folds: int, seed: int) -> DataFrame:
 
 
 def fit_linear_svm(train: DataFrame, seed: int, max_iter=100, c=1.0):
-    prepare = _standardiser(train)
-    n = train.count()
-    inner = _calibrated(prepare(train), seed, int(max_iter), 1.0 / (float(c) * n))
-    return lambda df: inner(prepare(df))
-
-
-def _fourier(width: int, size: int, gamma: float, seed: int):
-    """Random Fourier map z(x) = sqrt(2/D) cos(Wx + b), same matrix in every task."""
-    rng = np.random.RandomState(seed)
-    w = rng.normal(scale=math.sqrt(2.0 * gamma), size=(width, size))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=size)
-    root = math.sqrt(2.0 / size)
-
-    @F.pandas_udf("array<double>")
-    def project(rows: pd.Series) -> pd.Series:
-        if not len(rows):
-            return pd.Series([], dtype=object)
-        return pd.Series(list(root * np.cos(np.stack(rows.to_numpy()) @ w + b)))
-
-    return project
+    scale, _ = stages.scaler(train)
+    return _fitted(scale, *_calibrated(scale.transform(train), seed, int(max_iter), 1.0 / (float(c) * train.count()), "scaled"))
 
 
 def fit_rbf_svm(train: DataFrame, seed: int, size=256, c=3.0, max_iter=100):
-    prepare = _standardiser(train)
-    ready = prepare(train)
-    width, n = len(ready.select("features").first()[0]), train.count()
-    spread = ready.select(F.explode(vector_to_array("features")).alias("x")).agg(F.var_pop("x")).first()[0]
-    project = _fourier(width, int(size), 1.0 / (width * (spread or 1.0)), seed)
-
-    def mapped(df: DataFrame) -> DataFrame:
-        return df.withColumn("features", array_to_vector(project(vector_to_array("features"))))
-
-    inner = _calibrated(mapped(ready), seed, int(max_iter), 1.0 / (float(c) * n))
-    return lambda df: inner(mapped(prepare(df)))
+    """Random Fourier features of the kernel whose gamma is 1 / (features that vary), as their variance is 1."""
+    scale, varying = stages.scaler(train)
+    rename = stages.Rename(source="scaled", target="features")
+    width, n = train.select("features").first()[0].size, train.count()
+    project = stages.FourierMap(width=width, size=int(size), gamma=1.0 / max(1, varying), seed=seed)
+    ready = project.transform(rename.transform(scale.transform(train)))
+    return _fitted(scale, rename, project, *_calibrated(ready, seed, int(max_iter), 1.0 / (float(c) * n), "features"))
 
 
 def fit_extra_trees(train: DataFrame, seed: int, trees=300, depth=MAX_DEPTH, max_features="sqrt", groups=4, cuts=4):
     """Forests without bootstrap over features cut at random thresholds, averaged."""
-    dense = train.select("row_id", "target", vector_to_array("features").alias("_x"))
-    limits = (
-        dense.select(F.posexplode("_x").alias("i", "x")).groupBy("i").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-        .orderBy("i").collect()  # one row per feature column
-    )
-    low, high = np.array([r["a"] for r in limits]), np.array([r["b"] for r in limits])
+    ends = train.select(Summarizer.metrics("min", "max").summary(F.col("features")).alias("m")).select("m.min", "m.max").first()
+    low, high = ends[0].toArray(), ends[1].toArray()
     rng = np.random.RandomState(seed)
-    members = []
+    steps = []
     for g in range(groups):
         edges = np.sort(low[:, None] + rng.uniform(size=(len(low), cuts)) * (high - low)[:, None], axis=1)
-        table = F.broadcast(train.sparkSession.createDataFrame([(1, edges.tolist())], "_one int, _edges array<array<double>>"))
-
-        def cut(df: DataFrame, table=table) -> DataFrame:
-            placed = F.zip_with(
-                vector_to_array("features"), "_edges",
-                lambda v, e: F.size(F.filter(e, lambda t: t < v)).cast("double"),
-            )
-            wide = df.withColumn("_one", F.lit(1)).join(table, "_one")
-            return wide.withColumn("features", array_to_vector(placed)).drop("_one", "_edges")
-
-        scorer = fit_forest(cut(train), seed + g, trees=max(1, trees // groups), depth=depth, max_features=max_features,
-                            bootstrap=False, bins=max(2, cuts + 1))
-        members.append((cut, scorer))
-
-    def run(df: DataFrame) -> DataFrame:
-        parts = [scorer(cut(df)) for cut, scorer in members]
-        union = parts[0]
-        for part in parts[1:]:
-            union = union.unionByName(part)
-        mean = union.groupBy("row_id", "target").agg(F.avg("score").alias("score"))
-        return mean.withColumn("prediction", (F.col("score") > 0.5).cast("int")).select(*SCORED)
-
-    return run
+        cut = stages.RandomCuts(edges=json.dumps(edges.tolist()), into=f"cut{g}")
+        own = {"featuresCol": f"cut{g}", "probabilityCol": f"chance{g}", "rawPredictionCol": f"raw{g}", "predictionCol": f"said{g}"}
+        steps += [cut, _forest(cut.transform(train), seed + g, max(1, trees // groups), depth, max_features=max_features,
+                               bootstrap=False, bins=max(2, cuts + 1), **own)]
+    return _fitted(*steps, stages.MeanProbability(columns=[f"chance{g}" for g in range(groups)]))
 
 
 def fit_neighbours(train: DataFrame, seed: int, k=7):
-    prepare = _standardiser(train)
-
-    def arrays(df: DataFrame) -> DataFrame:
-        return prepare(df).select("row_id", "target", vector_to_array("features").alias("values"))
-
-    def run(df: DataFrame) -> DataFrame:
-        scored = neighbors.knn_classify(arrays(train), arrays(df), k, seed=seed)
-        return df.select("row_id", F.col("target").cast("int").alias("target")).join(scored, "row_id").select(*SCORED)
-
-    return run
-
-
-def fit_gaussian_nb(train: DataFrame, seed: int, standard=False):
-    from scoreloom.operators import bayes
-
-    prepare = _standardiser(train) if standard else (lambda df: df)
-
-    def arrays(df: DataFrame) -> DataFrame:
-        return prepare(df).select(
-            "row_id", F.col("target").cast("int").alias("target"), vector_to_array("features").alias("values"),
-            F.lit("train").alias("_one"),
-        )
-
-    model = bayes.fit(arrays(train), keys=("_one",))
-    return lambda df: bayes.score(arrays(df), model, keys=("_one",)).select(*SCORED)
-
-
+    scale, _ = stages.scaler(train)
+    rename = stages.Rename(source="scaled", target="features")
+    path = scratch_path(train.sparkSession, "neighbours")
+    ready = rename.transform(scale.transform(train))
+    ready.select("row_id", "target", vector_to_array("features").alias("values")).write.parquet(path)
+    return _fitted(scale, rename, stages.Neighbours(table=path, k=int(k), seed=seed))
+
+
+def fit_gaussian_nb(train: DataFrame, seed: int, smoothing=1e-9):
+    """Class moments from stored cells and counts; a row is then scored by its stored cells."""
+    total, _, spread = stages.moments(train)
+    n, mean, variance = zip(*(stages.moments(train.filter(F.col("target") == c)) if _has(train, c) else (0, 0.0, 0.0) for c in (0, 1)))
+    if not all(n):
+        sure = 1e6 if n[1] else -1e6
+        return _fitted(stages.GaussianBayes(base=sure, squares=[0.0] * len(spread), lines=[0.0] * len(spread)))
+    least = smoothing * spread.max(initial=0.0) or smoothing
+    v0, v1 = variance[0] + least, variance[1] + least
+    zero = 0.5 * (np.log(v0) - np.log(v1) + mean[0] ** 2 / v0 - mean[1] ** 2 / v1)
+    base = math.log(n[1] / n[0]) + zero.sum()
+    squares, lines = 0.5 / v0 - 0.5 / v1, mean[1] / v1 - mean[0] / v0
+    return _fitted(stages.GaussianBayes(base=float(base), squares=squares.tolist(), lines=lines.tolist()))
+
+
+def _has(train: DataFrame, target: int) -> bool:
+    return not train.filter(F.col("target") == target).isEmpty()
+
+
+# The twelve names, and what of each is left when Spark's learners stand in.
 PROFILES: Mapping[str, Profile] = {
     "LogisticRegression": Profile(fit_logistic, {}, "intercept is not penalised"),
     "kNN": Profile(fit_neighbours, {"k": 7}, "exact"),
@@ -293,20 +226,28 @@ PROFILES: Mapping[str, Profile] = {
 }
 
 
-def settled(train: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def partitions_for(rows: int, width: int) -> int:
+    """Partitions of a training set, so that one holds at most PART_BYTES of features if no cell were 0."""
+    return max(FIT_PARTITIONS, -(-rows * width * 8 // PART_BYTES))
+
+
+def settled(train: DataFrame, partitions: int | None = None) -> DataFrame:
     """Training rows dealt by a hash of their id and ordered within each partition.
 
-    Learners draw by partition, so a fit depends on this layout; it follows from the rows and `partitions` alone,
-    however the rows are stored. Raise `partitions` with the training set.
+    Learners draw by partition, so a fit depends on this layout; it follows from the number of rows and features alone
+    (or `partitions`), however the rows are stored.
     """
+    if partitions is None:
+        row = train.select("features").first()
+        partitions = partitions_for(train.count(), row[0].size) if row else 1
     order = [c for c in ("row_id", "copy_no") if c in train.columns]
     return train.repartition(partitions, "row_id").sortWithinPartitions(*order)
 
 
 def fit(
-    name: str, train: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42, partitions: int = FIT_PARTITIONS
+    name: str, train: DataFrame, params: Mapping[str, object] | None = None, seed: int = 42, partitions: int | None = None
 ):
-    """Fit a named classifier; the result maps rows to scored rows."""
+    """Fit a named classifier; the result maps rows to scored rows and has the fitted `.pipeline`."""
     profile = PROFILES[name]
     cached = settled(train, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoreloom.operators import models
 from scoreloom.operators.featurize import Family, select_families
 from scoreloom.operators.rank import INPUT_ORDER
 
@@ -73,3 +75,13 @@ def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None
 def write_model(scorer, path: str) -> None:
     """Save the fitted Spark model behind a scorer."""
     scorer.model.write().overwrite().save(path)
+
+
+def write_pipeline(scorer, path: str) -> None:
+    """Save every fitted step behind a scorer: preprocessing, models, calibration, tables of training rows."""
+    scorer.pipeline.write().overwrite().save(path)
+
+
+def read_pipeline(path: str):
+    """The scorer of a saved pipeline."""
+    return models.scorer(PipelineModel.load(path))

@@ -1,13 +1,17 @@
 """Trained models on a small separable set: valid scores, better than chance, failures reported."""
 
 import random
+import shutil
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
-from scoreloom.operators import ensemble, metrics, models, search, split
+from scoreloom.operators import ensemble, metrics, models, search, split, stages
 from scoreloom.session import stored
+from scoreloom.sources import store
 
 FAST = {
     "RandomForest": {"trees": 8, "depth": 4},
@@ -42,6 +46,62 @@ def test_model_beats_chance(parts, name):
     assert row.ROC > 0.75
 
 
+@pytest.mark.parametrize("name", list(models.PROFILES))
+def test_a_saved_pipeline_scores_the_same(parts, name, tmp_path):
+    """Reloaded with all that stands before and after the model; the scratch folders of the fit are not needed."""
+    train, test = parts
+    params = {**(FAST.get(name) or {}), **({"rounds": 2} if "rounds" in (FAST.get(name) or {}) else {})}
+    scorer = models.fit(name, train, params)
+    store.write_pipeline(scorer, str(tmp_path / name))
+    before = {r.row_id: (r.score, r.prediction) for r in scorer(test).collect()}
+    if name == "kNN":
+        shutil.rmtree(scorer.pipeline.stages[-1].of("table").removeprefix("file:"))
+    back = store.read_pipeline(str(tmp_path / name))
+    assert {r.row_id: (r.score, r.prediction) for r in back(test).collect()} == before
+
+
+def test_scaling_keeps_zeros_and_has_population_deviation(spark, parts):
+    rows = [(i, [float(i % 2), 0.0, float(i), 7.0]) for i in range(10)]
+    df = spark.createDataFrame(rows, "row_id long, v array<double>").withColumn("features", array_to_vector("v"))
+    scale, varying = stages.scaler(df)
+    assert varying == 2
+    want = [1 / np.std([r[1][j] for r in rows]) if j in (0, 2) else 0.0 for j in range(4)]
+    assert np.allclose(scale.getScalingVec().toArray(), want)
+    sparse = df.withColumn("features", F.udf(lambda v: Vectors.sparse(4, [0], [v[0]]), VectorUDT())("v"))
+    assert "Sparse" in type(scale.transform(sparse).first().scaled).__name__
+
+
+def test_logistic_gradient_vanishes(parts):
+    """Of the weighted, penalised loss over centred and scaled features, at the weights fitted without centring."""
+    train, _ = parts
+    scorer = models.fit("LogisticRegression", train, {"max_iter": 500})
+    x = np.array([r.features.toArray() for r in train.orderBy("row_id").collect()])
+    y = np.array([r.target for r in train.orderBy("row_id").collect()])
+    std = x.std(0)
+    z = np.where(std > 0, (x - x.mean(0)) / np.where(std > 0, std, 1), 0.0)
+    w = scorer.model.coefficients.toArray()
+    b = scorer.model.intercept + (w * np.where(std > 0, x.mean(0) / np.where(std > 0, std, 1), 0.0)).sum()
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    off = weight * (1 / (1 + np.exp(-(z @ w + b))) - y)
+    assert np.abs(z.T @ off / weight.sum() + w / weight.sum()).max() < 1e-4 and abs(off.sum() / weight.sum()) < 1e-4
+
+
+def test_naive_bayes_ranks_the_surest_rows(spark):
+    """Log-odds against a plain program, of sparse rows whose scores are 0 or 1."""
+    rng = random.Random(2)
+    data = [(i, i % 2, [float(rng.random() < (0.8 if i % 2 else 0.1)) * (1 + j) for j in range(300)]) for i in range(60)]
+    df = spark.createDataFrame(data, "row_id long, target int, v array<double>").withColumn("features", array_to_vector("v"))
+    odds = {r.row_id: r.odds for r in models.fit("GaussianNB", df).pipeline.transform(df).select("row_id", "odds").collect()}
+    x, y = np.array([d[2] for d in data]), np.array([d[1] for d in data])
+    least = 1e-9 * x.var(0).max()
+    say = lambda c: (-0.5 * (np.log(2 * np.pi * (x[y == c].var(0) + least)) + (x - x[y == c].mean(0)) ** 2 / (x[y == c].var(0) + least))).sum(1)
+    assert np.allclose([odds[i] for i in range(60)], say(1) - say(0), rtol=1e-9) and len({round(o, 6) for o in odds.values()}) == 60
+
+
+def test_partitions_follow_the_size():
+    assert models.partitions_for(100, 50) == 4 and models.partitions_for(10**8, 2000) == 47_684
+
+
 def test_same_seed_same_scores(parts):
     train, test = parts
     a, b = (models.fit_predict("RandomForest", train, test, FAST["RandomForest"]) for _ in range(2))
