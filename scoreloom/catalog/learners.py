@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scoreloom.catalog import common as C
+from scoreloom.catalog import sql as S
 from scoreloom.catalog.registry import query
 from scoreloom.operators import ensemble, featurize, metrics, models, search
-from scoreloom.plans import steps
+from scoreloom.plans import chain, steps
+from scoreloom.session import scratch_path
+from scoreloom.sources import store
 
 DATASETS = ("quality", "toxic")
 FAMILIES = C.family("keys", "desc")
@@ -158,3 +162,46 @@ def sweep_status(spark, sf):
     return table.select(
         "candidate", "Status", F.col("Test_ROC").isNotNull().alias("measured"), (F.col("CandidateRank") <= 2).alias("ranked_before_failed")
     )
+
+
+CHAIN = chain.Settings(
+    sets=("ngram", "keys", "desc", "chargram", "all_available"), ks=(50, 200), models=("RandomForest", "LogisticRegression", "GaussianNB", "DecisionTree"),
+    model_params=CHECK_PARAMS, forest=SMALL, candidates=3, space=SPACE, trees=16, rounds=8, views=("keys", "desc", "keys_desc"), keep=2,
+)
+_TRIED = {
+    chain.ABLATION: len(CHAIN.sets), chain.SELECTION: len(CHAIN.methods) * len(CHAIN.ks), chain.COMPARISON: len(CHAIN.models),
+    chain.RESAMPLING: len(CHAIN.scenarios), chain.TUNING: CHAIN.candidates, chain.ENSEMBLES: 8,
+}
+
+
+@query(
+    "pipeline_progression",
+    S.ctes(
+        "data", "tok",
+        extra="valid_rows AS (SELECT d.dataset, d.row_id, d.target FROM data d JOIN tok ON tok.row_id = d.row_id WHERE len(t) > 0 AND d.target IS NOT NULL),\n"
+        "held AS (" + S.sizes("valid_rows") + ")",
+    )
+    + 'SELECT dataset AS "Dataset", step AS "Step", tried AS "Candidates", sum(take)::BIGINT AS "TestRows", sum(take) FILTER (WHERE target = 1)::BIGINT AS "Positives",'
+    ' true AS "BestChosen", true AS "CarriedOn", true AS "NoWorseThanChosen" FROM held CROSS JOIN (VALUES '
+    + ", ".join(f"('{step}', {n}::BIGINT)" for step, n in _TRIED.items())
+    + ") v(step, tried) GROUP BY dataset, step, tried",
+)
+def pipeline_progression(spark, sf):
+    """Steps 3 to 8 in a chain: rows tried and measured, whether the best was chosen, and whether the next step took it."""
+    rows = steps.prepare(C.labelled(spark, sf, *[f.name for f in C.FAMILIES]), C.FAMILIES)
+    base = scratch_path(spark, "chain")
+    out = chain.run(rows, C.FAMILIES, DATASETS, base, CHAIN)
+    results = store.read_results(spark, f"{base}/results")
+    tried = results.groupBy("Dataset", F.col("step").alias("Step")).agg(
+        F.count("*").alias("Candidates"), F.max("ROC").alias("_best"), F.max(F.col("TN") + F.col("FP") + F.col("FN") + F.col("TP")).cast("long").alias("TestRows"),
+        F.max(F.col("FN") + F.col("TP")).cast("long").alias("Positives"),
+    )
+    before = Window.partitionBy("Dataset").orderBy("Step")
+    kept = F.lag("FeatureSet").over(before).isNull() | (F.lag("FeatureSet").over(before) == F.col("FeatureSet"))
+    config = out["config"].withColumn("CarriedOn", kept)
+    reported = out["progression"].select("Dataset", "Step", F.col("ROC").alias("_reported"))
+    joined = tried.join(config.select("Dataset", "Step", "ROC", "CarriedOn"), ["Dataset", "Step"]).join(reported, ["Dataset", "Step"])
+    return joined.select(
+        "Dataset", "Step", "Candidates", "TestRows", "Positives", (F.col("ROC") == F.col("_best")).alias("BestChosen"), "CarriedOn",
+        (F.col("_reported") >= F.col("ROC")).alias("NoWorseThanChosen"),
+    )

@@ -7,6 +7,7 @@ measured in one grouped job.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -165,7 +166,10 @@ def selection_grid(
                 experiments.append(
                     Experiment(
                         label, d, lambda cut=cut: cut(learn), lambda cut=cut: cut(measure), params=params or {},
-                        meta={"SelectionMethod": method, "K": str(len(chosen)), "RequestedK": str(k), "SelectionLabel": label},
+                        meta={
+                            "SelectionMethod": method, "K": str(len(chosen)), "RequestedK": str(k), "SelectionLabel": label,
+                            "Features": json.dumps(chosen),
+                        },
                     )
                 )
     return run(experiments, "04_feature_selection", seed)[0]

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoreloom.operators import featurize, rank, search
-from scoreloom.plans import steps
-from scoreloom.sources import delimited
+from scoreloom.plans import chain, steps
+from scoreloom.sources import delimited, store
 from scoreloom.sources.tables import by_target, labelled_documents
 
 FAMILIES = [f for f in featurize.text_families() if f.name in ("keys", "desc")]
@@ -119,3 +119,42 @@ def test_collect_reads_delimited_results(spark, tmp_path):
     assert [(r.StepOrder, r.ROC, r.F1) for r in got] == [(2, 0.8, 0.6), (3, 0.9, None)]
     assert out["final"].first().CandidateLabel == "Best feature set"
     assert out["baseline_vs_final"].first()["ROC_Gain_%"] == pytest.approx(12.5)
+
+
+def small(**more):
+    return chain.Settings(
+        sets=("keys", "desc"), methods=("ANOVA",), ks=(5, 10), models=("RandomForest", "DecisionTree"), forest=FAST,
+        model_params={"RandomForest": FAST}, scenarios=search_scenarios(), candidates=1, space={**search.FOREST_SPACE, "n_estimators": (4,), "max_depth": (3,)},
+        trees=4, rounds=2, views=("keys", "desc"), keep=2, **more,
+    )
+
+
+def search_scenarios():
+    from scoreloom.operators import resample
+
+    return tuple(s for s in resample.SCENARIOS if s[0] in ("none", "balanced_oversampling", "balanced_undersampling"))
+
+
+def test_each_step_takes_what_the_one_before_chose(spark, rows, tmp_path, monkeypatch):
+    """And a run that is stopped goes on with the step that had not ended."""
+    base, calls, whole = str(tmp_path / "chain"), [], steps.ensembles
+    monkeypatch.setattr(steps, "ensembles", lambda *a, **k: calls.append(a) or (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        chain.run(rows, FAMILIES, ["quality"], base, small())
+    config = {r.Step: r for r in (chain.read_config(spark, base, step).first() for step in (chain.ABLATION, chain.SELECTION, chain.RESAMPLING, chain.TUNING))}
+    three = store.read_results(spark, f"{base}/results", chain.ABLATION).collect()
+    assert config[chain.ABLATION].FeatureSet == max(three, key=lambda r: r.ROC).FeatureSet
+    four = store.read_results(spark, f"{base}/results", chain.SELECTION).collect()
+    assert json.loads(config[chain.SELECTION].Features) == json.loads(max(four, key=lambda r: r.ROC).Features)
+    family, ratio, method, forest = calls[0][3:7]
+    assert family == config[chain.ABLATION].FeatureSet == config[chain.TUNING].FeatureSet
+    assert method == config[chain.RESAMPLING].SamplingMethod and forest == json.loads(config[chain.TUNING].Params)
+
+    monkeypatch.setattr(steps, "ablation", None)  # ended steps are not run again
+    monkeypatch.setattr(steps, "ensembles", whole)
+    out = chain.run(rows, FAMILIES, ["quality"], base, small())
+    progress = out["progression"].orderBy("StepOrder").collect()
+    assert [r.StepOrder for r in progress] == [2, 3, 4, 5, 6, 7, 8]
+    best = {r.Step: r.ROC for r in out["config"].collect()}
+    assert all(r.ROC == pytest.approx(best[r.Step]) for r in progress[1:])
+    assert {r.CurrentStep for r in out["gains"].collect()} == {chain.SELECTION, chain.COMPARISON, chain.RESAMPLING, chain.TUNING, chain.ENSEMBLES}
