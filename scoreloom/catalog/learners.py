@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scoreloom.catalog import common as C
 from scoreloom.catalog import sql as S
 from scoreloom.catalog.registry import query
-from scoreloom.operators import ensemble, featurize, metrics, models, search
+from scoreloom.operators import ensemble, metrics, models, report, search
 from scoreloom.plans import chain, steps
 from scoreloom.session import scratch_path
 from scoreloom.sources import store
@@ -54,6 +54,11 @@ def _one(name):
     return run
 
 
+def _each(make):
+    """Rows of both datasets."""
+    return report.union_results([make(d).withColumn("Dataset", F.lit(d)) for d in DATASETS])
+
+
 for _key, _name in (
     ("rf_baseline", "RandomForest"),
     ("extra_trees", "ExtraTrees"),
@@ -107,23 +112,27 @@ def resampling_sweep(spark, sf):
 
 @query("cv_search")
 def cv_search(spark, sf):
-    train = steps.part(_ready(spark, sf), "quality", "train")
+    ready = _ready(spark, sf)
     sampled = search.parameter_rows(search.sample_params(spark, 3, space=SPACE))
     candidates = [search.forest_params(r) for r in sampled]
-    return search.cross_validate(train, candidates, ratio=1.0, method="oversampling")
+    return _each(lambda d: search.cross_validate(steps.part(ready, d, "train"), candidates, ratio=1.0, method="oversampling"))
 
 
 @query("candidate_test_eval")
 def candidate_test_eval(spark, sf):
-    return steps.tuning(_ready(spark, sf), "quality", 1.0, "oversampling", n=3, space=SPACE)
+    ready = _ready(spark, sf)
+    return _each(lambda d: steps.tuning(ready, d, 1.0, "oversampling", n=3, space=SPACE))
 
 
 def _stacked(spark, sf, meta, params, passthrough, gatekeeper):
     ready = _ready(spark, sf)
-    train, test = steps.part(ready, "quality", "train"), steps.part(ready, "quality", "test")
     members = {n: (m, CHECK_PARAMS[m]) for n, (m, _) in steps.strong_members(gatekeeper=gatekeeper).items()}
-    scored = ensemble.stack(train, test, members, meta, params, passthrough)
-    return metrics.metric_rows(scored.withColumn("dataset", F.lit("quality")), ["dataset"])
+
+    def stacked(d):
+        scored = ensemble.stack(steps.part(ready, d, "train"), steps.part(ready, d, "test"), members, meta, params, passthrough)
+        return scored.withColumn("dataset", F.lit(d))
+
+    return metrics.metric_rows(report.union_results([stacked(d) for d in DATASETS]), ["dataset"])
 
 
 @query("stacking_lr")
@@ -139,10 +148,13 @@ def stacking_rf_passthrough(spark, sf):
 @query("multiview_linear")
 def multiview_linear(spark, sf):
     views = ["keys", "desc", "keys_desc"]
-    valid, tested = steps.view_scores(_rows(spark, sf), FAMILIES, ["quality"], views, params=SMALL)
-    scored, weights = ensemble.multiview_linear(valid, tested, views)
-    table = metrics.metric_rows(scored.withColumn("dataset", F.lit("quality")), ["dataset"])
-    return table.withColumn("Weights", F.lit(str(weights)))
+    valid, tested = steps.view_scores(_rows(spark, sf), FAMILIES, DATASETS, views, params=SMALL)
+
+    def combined(d):
+        scored, weights = ensemble.multiview_linear(valid.filter(F.col("dataset") == d), tested.filter(F.col("dataset") == d), views)
+        return scored.withColumns({"dataset": F.lit(d), "Weights": F.lit(str(weights))})
+
+    return metrics.metric_rows(report.union_results([combined(d) for d in DATASETS]), ["dataset", "Weights"])
 
 
 @query(

@@ -135,6 +135,43 @@ def gaussian_nb(spark, sf):
     return C.rounded(_nb(rows, ("keys", "desc")), "score")
 
 
+@query(
+    "gaussian_nb_sparse",
+    S.ctes("split", "wide", "doc_cells")
+    + """, r AS (SELECT s.* FROM split s JOIN wide w ON w.row_id = s.row_id WHERE s.dataset <> 'events'),
+    c AS (SELECT r.*, d.idx, d.x FROM r JOIN doc_cells d ON d.row_id = r.row_id),
+    n AS (SELECT dataset, target, count(*)::DOUBLE AS n FROM r WHERE split = 'train' GROUP BY ALL),
+    h AS (SELECT dataset, idx, target, count(x)::DOUBLE AS k, avg(x) AS m, var_pop(x) AS v FROM c WHERE split = 'train' GROUP BY ALL),
+    f AS (SELECT i.dataset, i.idx, n.target, n.n, coalesce(k, 0) * coalesce(m, 0) / n.n AS mean,
+                 (coalesce(k, 0) * coalesce(v, 0) + coalesce(k, 0) * (n.n - coalesce(k, 0)) / n.n * coalesce(m, 0) ** 2) / n.n AS var
+          FROM (SELECT DISTINCT dataset, idx FROM h) i JOIN n ON n.dataset = i.dataset
+          LEFT JOIN h ON h.dataset = i.dataset AND h.idx = i.idx AND h.target = n.target),
+    o AS (SELECT dataset, max(spread) * 1e-9 AS eps FROM (
+            SELECT f.dataset, f.idx, sum(f.n * (var + (mean - middle) ** 2)) / sum(f.n) AS spread
+            FROM f JOIN (SELECT dataset, idx, sum(n * mean) / sum(n) AS middle FROM f GROUP BY ALL) g ON g.dataset = f.dataset AND g.idx = f.idx
+            GROUP BY f.dataset, f.idx) GROUP BY dataset),
+    p AS (SELECT f.dataset, f.idx, max(mean) FILTER (target = 0) AS m0, max(mean) FILTER (target = 1) AS m1,
+                 max(var + eps) FILTER (target = 0) AS v0, max(var + eps) FILTER (target = 1) AS v1,
+                 max(n) FILTER (target = 0) AS n0, max(n) FILTER (target = 1) AS n1
+          FROM f JOIN o ON o.dataset = f.dataset GROUP BY f.dataset, f.idx),
+    z AS (SELECT dataset, max(ln(n1 / n0)) + sum(0.5 * (ln(v0) - ln(v1) + m0 * m0 / v0 - m1 * m1 / v1)) AS base FROM p GROUP BY dataset),
+    g AS (SELECT c.dataset, c.row_id, sum((0.5 / v0 - 0.5 / v1) * x * x + (m1 / v1 - m0 / v0) * x) AS change
+          FROM c JOIN p ON p.dataset = c.dataset AND p.idx = c.idx WHERE c.split = 'test' GROUP BY ALL)
+    SELECT r.dataset, r.row_id, r.target, round(base + coalesce(change, 0), 1) AS odds, (base + coalesce(change, 0) >= 0)::INTEGER AS prediction
+    FROM r JOIN z ON z.dataset = r.dataset LEFT JOIN g ON g.dataset = r.dataset AND g.row_id = r.row_id WHERE r.split = 'test'""",
+)
+def gaussian_nb_sparse(spark, sf):
+    """Log-odds over all four families, from stored cells only."""
+    families = [f.name for f in C.FAMILIES]
+    rows = split.stratified(C.labelled(spark, sf, *families)).filter(F.col("desc").isNotNull())
+    cells = featurize.sparse_cells(rows, C.FAMILIES, ["dataset", "row_id", "target", "split"])
+    train = rows.filter("split = 'train'").groupBy("dataset", "target").agg(F.count("*").alias("n"))
+    model = bayes.fit_cells(cells.filter("split = 'train'"), train)
+    test = rows.filter("split = 'test'").select("dataset", "row_id", "target")
+    out = bayes.score_cells(test, cells.filter("split = 'test'").select("dataset", "row_id", "idx", "x"), model)
+    return C.rounded(out.drop("score"), "odds", digits=1)
+
+
 _FAMILY_SQL = (
     S.ctes("split", "wide", "kd_cells", extra=_nb_sql(0, S.N_KEYS, "k") + ",\n" + _nb_sql(S.N_KEYS, _NB_FEATURES, "d"))
     + ", pr AS (SELECT dataset, 'desc' AS experiment, target, round(score, 9) AS score, prediction FROM nbd UNION ALL SELECT dataset, 'keys', target, round(score, 9), prediction FROM nbk),\n"

@@ -4,7 +4,7 @@ The sum doesn't depend on the paragraphs' order, and paragraphs can be added to
 It has three parts: exact lanes (uniform, 32 bits wide) for equality; sketch lanes (24 bits wide), to which a paragraph
 adds a number from a Cauchy distribution; and the number of paragraphs (32 bits). Cauchy numbers add up to such a number
 as wide as their weights together, so the width of a difference's lanes tells how many paragraphs are unlike, each copy
-of a repeated one counted: of 128 lanes with a standard error of an eighth of that number.
+of a repeated one counted: of 96 lanes with a standard error of a seventh of that number.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.llm.common import documents, stored
 
-EXACT_LANES, SKETCH_LANES = 8, 128
+EXACT_LANES, SKETCH_LANES = 8, 96
 #: Bits of a sketch lane, and the unit of its numbers. Lanes overflow only where more than about 20,000 are unlike.
 SKETCH_BITS, UNIT = 24, 16
 ROUNDS = 5

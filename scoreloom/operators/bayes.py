@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.numeric import threshold
 from scoreloom.operators.clean import to_cells
-from scoreloom.session import bounded_side
+from scoreloom.session import bounded_side, stored
 
 SMOOTHING = 1e-9
 CLIP = 700.0
@@ -64,3 +64,48 @@ def score(rows: DataFrame, model: DataFrame, values: str = "values", keys: Seque
     clipped = F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), gap))
     scored = rows.join(bounded_side(model), keys).withColumn("score", 1.0 / (1.0 + F.exp(clipped)))
     return scored.withColumn("prediction", threshold(F.col("score"))).drop("prior0", "prior1", "params0", "params1")
+
+
+def fit_cells(
+    cells: DataFrame, classes: DataFrame, keys: Sequence[str] = ("dataset",), label: str = "target", smoothing: float = SMOOTHING
+) -> tuple[DataFrame, DataFrame]:
+    """((keys, idx, square, line), (keys, base)) from stored cells (keys, label, idx, x) and class counts (keys, label, n).
+
+    Cells that are not stored are 0. The log-odds of a row of zeros are `base`; a cell x adds square x^2 + line x. A
+    feature without a stored cell says the same of both classes and is left out.
+    """
+    keys = list(keys)
+    held = cells.groupBy(*keys, "idx", label).agg(F.count("x").alias("_k"), F.avg("x").alias("_m"), F.var_pop("x").alias("_v"))
+    every = held.select(*keys, "idx").distinct().join(classes.select(*keys, label, F.col("n").cast("double").alias("n")), keys)
+    full = every.join(held, [*keys, "idx", label], "left").fillna(0, ["_k", "_m", "_v"])
+    k, m, n = F.col("_k"), F.col("_m"), F.col("n")
+    full = full.select(*keys, "idx", label, "n", (k * m / n).alias("mean"), ((k * F.col("_v") + k * (n - k) / n * m * m) / n).alias("var"))
+    pick = lambda c, name: F.max(F.when(F.col(label) == c, F.col(name)))
+    wide = full.groupBy(*keys, "idx").agg(*[pick(c, name).alias(f"{name}{c}") for c in (0, 1) for name in ("n", "mean", "var")])
+    total = F.col("n0") + F.col("n1")
+    middle = (F.col("n0") * F.col("mean0") + F.col("n1") * F.col("mean1")) / total
+    spread = sum(F.col(f"n{c}") * (F.col(f"var{c}") + (F.col(f"mean{c}") - middle) ** 2) for c in (0, 1)) / total
+    least = F.max(spread).over(Window.partitionBy(*keys)) * smoothing
+    wide = stored(wide.withColumn("_eps", least).withColumns({f"v{c}": F.col(f"var{c}") + F.col("_eps") for c in (0, 1)}), "bayes")
+    m0, m1, v0, v1 = (F.col(c) for c in ("mean0", "mean1", "v0", "v1"))
+    params = wide.select(*keys, "idx", (0.5 / v0 - 0.5 / v1).alias("square"), (m1 / v1 - m0 / v0).alias("line"))
+    zero = 0.5 * (F.ln(v0) - F.ln(v1) + m0 * m0 / v0 - m1 * m1 / v1)
+    base = wide.groupBy(*keys).agg((F.ln(F.max("n1") / F.max("n0")) + F.sum(zero)).alias("base"))
+    return params, base
+
+
+def score_cells(
+    rows: DataFrame, cells: DataFrame, model: tuple[DataFrame, DataFrame], keys: Sequence[str] = ("dataset",), row_id: str = "row_id"
+) -> DataFrame:
+    """rows (keys, row_id, ...) with odds, score and prediction; only stored cells (keys, row_id, idx, x) are read.
+
+    `odds` are not cut off, so rows whose score is 0 or 1 to the last digit are still ranked by them.
+    """
+    params, base = model
+    x = F.col("x")
+    changes = cells.join(bounded_side(params), [*keys, "idx"]).groupBy(*keys, row_id)
+    changes = changes.agg(F.sum(F.col("square") * x * x + F.col("line") * x).alias("_change"))
+    odds = F.col("base") + F.coalesce("_change", F.lit(0.0))
+    out = rows.join(bounded_side(base), list(keys)).join(changes, [*keys, row_id], "left").withColumn("odds", odds)
+    out = out.drop("base", "_change").withColumn("score", 1.0 / (1.0 + F.exp(-F.col("odds"))))
+    return out.withColumn("prediction", (F.col("odds") >= 0).cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.numeric import to_class
-from scoreloom.session import bounded_side, materialise
+from scoreloom.session import bounded_side, materialise, stored
 
 #: Values between the brackets of a group that are ordered at last, counted by distinct value.
 BRACKETED_ROWS = 2_000_000
@@ -146,6 +146,50 @@ def exact_median(cells: DataFrame, group: Sequence[str], bracketed: int = BRACKE
     return upto.groupBy(*group).agg(((lies(first) + lies(last)) / 2).alias("median"))
 
 
+def sparse_median(
+    cells: DataFrame, sizes: DataFrame, group: Sequence[str] = ("dataset",), bracketed: int = BRACKETED_ROWS
+) -> DataFrame:
+    """(group, idx, median) from stored cells (group, idx, x) and the rows of each group (group, n).
+
+    Cells that are not stored are 0, those with a null are missing. Where zeros fill the middle the counts of smaller
+    and larger cells say so, and nothing is ordered; that is every bit that less than half of the rows have. Other
+    features have more stored cells than zeros, and only their zeros are written out. A feature without any stored cell
+    is not in the result (its median is 0), one that is always missing has a null.
+    """
+    group = list(group)
+    x = F.col("x")
+    count = lambda cond: F.sum(cond.cast("long"))
+    held = cells.groupBy(*group, "idx").agg(count(x < 0).alias("_neg"), count(x > 0).alias("_pos"), count(x == 0).alias("_zero"), count(x.isNull()).alias("_null"))
+    held = held.fillna(0, ["_neg", "_pos", "_zero"]).join(sizes.select(*group, F.col("n").alias("_rows")), group)
+    held = held.withColumn("_n", F.col("_rows") - F.col("_null"))
+    held = stored(held.withColumn("_zeros", F.col("_n") - F.col("_neg") - F.col("_pos")), "cells")
+    lower, upper = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+    middle = (F.col("_n") > 0) & (lower > F.col("_neg")) & (upper <= F.col("_neg") + F.col("_zeros"))
+    known = held.filter(middle | (F.col("_n") == 0)).select(*group, "idx", F.when(F.col("_n") > 0, 0.0).alias("median"))
+    open_ = held.filter(~middle & (F.col("_n") > 0))
+    values = cells.filter(x.isNotNull()).join(open_.select(*group, "idx"), [*group, "idx"]).select(*group, "idx", x.cast("double").alias("x"))
+    absent = open_.filter("_zeros > _zero").select(*group, "idx", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_zeros") - F.col("_zero"))).alias("x"))
+    every = values.unionByName(absent.withColumn("x", F.lit(0.0)))
+    return known.unionByName(exact_median(every, [*group, "idx"], bracketed))
+
+
+def filled(rows: DataFrame, values: str, policy: str = "zero", train: DataFrame | None = None, dataset: Sequence[str] = ("dataset",)) -> DataFrame:
+    """Array column `values` without nulls, NaN and infinities: 0, or with policy `median` that of the training rows.
+
+    A feature that no training row has is 0 there too.
+    """
+    clean = lambda v: F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
+    rows = rows.withColumn(values, F.transform(values, lambda v: clean(v.cast("double"))))
+    if policy == "zero":
+        return rows.withColumn(values, F.transform(values, lambda v: F.coalesce(v, F.lit(0.0))))
+    if policy != "median":
+        raise ValueError(f"unknown policy: {policy}")
+    known = train.withColumn(values, F.transform(values, lambda v: clean(v.cast("double"))))
+    medians = fit_median(known, values, dataset)
+    out = rows.join(bounded_side(medians), list(dataset))
+    return out.withColumn(values, F.zip_with(values, "medians", lambda v, m: F.coalesce(v, m, F.lit(0.0)))).drop("medians")
+
+
 def fit_median(
     train: DataFrame, values: str, dataset: Sequence[str] = ("dataset",), bracketed: int = BRACKETED_ROWS
 ) -> DataFrame:

@@ -55,8 +55,14 @@ def prepare(
     return stored(split.kfold(inner, seed=seed, dataset=within), "prepared")
 
 
-def assembled(rows: DataFrame, families: Sequence[featurize.Family]) -> DataFrame:
-    """Model input over `families`, written once for the many passes of a fit."""
+def assembled(rows: DataFrame, families: Sequence[featurize.Family], policy: str = "zero") -> DataFrame:
+    """Model input over `families`, written once for the many passes of a fit.
+
+    Missing values become 0, or with policy `median` the median of the dataset's training rows.
+    """
+    for f in families:
+        if f.kind == "dense":
+            rows = clean.filled(rows, f.name, policy, rows.filter(F.col("split") == "train"))
     wide = featurize.assemble(rows, families)
     return stored(wide.select("dataset", "row_id", "target", "split", "inner", "fold", "features"), "assembled")
 

@@ -100,3 +100,30 @@ def test_quoted_header_quotes_and_line_ends(spark, tmp_path):
     df, sep = delimited.read_delimited(spark, path, multi_line=True)
     assert sep == "," and df.columns == ["id", "a;b", "c"]
     assert [tuple(r) for r in df.orderBy("id").collect()] == [("1", "two\nlines", 'say "hi"'), ("2", "x", "y")]
+
+
+def test_sparse_median_is_that_of_the_dense_rows(spark):
+    """Bits, negative cells, missing cells, features never or always missing, and middles between zero and a cell."""
+    import random
+    from statistics import median
+
+    rng = random.Random(3)
+    draw = [lambda: rng.choice([0, 0, 0, 1]), lambda: rng.gauss(0, 2), lambda: rng.choice([0, -1, -2, -3]), lambda: rng.choice([0, 1]), lambda: 0, lambda: None, lambda: rng.choice([0, 4, None])]
+    for n in (1, 2, 7, 40):
+        rows = [[d() for d in draw] for _ in range(n)]
+        cells = [("d", j, None if v is None else float(v)) for row in rows for j, v in enumerate(row) if v != 0]
+        df = spark.createDataFrame(cells, "dataset string, idx int, x double")
+        sizes = spark.createDataFrame([("d", n)], "dataset string, n long")
+        got = {r.idx: r.median for r in clean.sparse_median(df, sizes).collect()}
+        for j in range(len(draw)):
+            there = [row[j] for row in rows if row[j] is not None]
+            want = median(there) if there else None
+            assert got.get(j, 0.0) == want, (n, j)
+
+
+def test_missing_values_by_policy(spark):
+    rows = spark.createDataFrame([("d", 0, [1.0, None, float("nan")]), ("d", 1, [3.0, None, 5.0]), ("d", 2, [float("inf"), 2.0, None])], "dataset string, row_id int, v array<double>")
+    train = rows.filter("row_id < 2")
+    by = lambda df: {r.row_id: r.v for r in df.collect()}
+    assert by(clean.filled(rows, "v")) == {0: [1.0, 0.0, 0.0], 1: [3.0, 0.0, 5.0], 2: [0.0, 2.0, 0.0]}
+    assert by(clean.filled(rows, "v", "median", train)) == {0: [1.0, 0.0, 5.0], 1: [3.0, 0.0, 5.0], 2: [2.0, 2.0, 5.0]}
