@@ -207,8 +207,10 @@ def filtered(docs: DataFrame) -> DataFrame:
 
     Null, empty and very long texts and repeated rows are judged as there; an empty table gives no rows.
     """
-    rows = examined(_rows(docs, F.struct(*[name(c) for c in docs.columns]).alias("row_"))).filter("not base_failed")
-    rows = stored(rows.drop("text"), "examined").withColumn("text", F.coalesce("row_.text", F.lit("")))
+    rows = examined(_rows(docs, F.struct(*[name(c) for c in docs.columns]).alias("row_")))
+    # Written before rows are filtered: a filter would be pushed below all that it is made of, and work it out again.
+    rows = stored(rows.drop("text"), "examined").filter("not base_failed")
+    rows = rows.withColumn("text", F.coalesce("row_.text", F.lit("")))
     measures = measured(rows, stored(common_words(rows), "common-words"))
     refs = stored(references(stored(measures.select("lang", "classes", "hits", "n_words"), "measures")), "references")
     # A filter would be pushed below the columns it uses, and work them out again; a generator stays where it is.
