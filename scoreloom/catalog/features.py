@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from scoreloom.catalog import common as C
@@ -62,13 +61,12 @@ def scalar_descriptors(spark, sf):
 def feature_assemble(spark, sf):
     """All four families in one vector per document, in table order."""
     docs = featurize.featurize(C.valid_documents(spark, sf), C.FAMILIES)
-    rows = featurize.assemble(docs, C.FAMILIES).select("row_id", vector_to_array("features").alias("v"))
-    hits = F.filter(F.transform("v", lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
+    rows = docs.select("row_id", featurize.sparse_vector(C.FAMILIES).alias("v"))
     return rows.select(
         "row_id",
-        F.size(hits).cast("bigint").alias("nonzero"),
-        F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 4).alias("total"),
-        F.aggregate(hits, F.lit(0).cast("bigint"), lambda a, i: a + i).alias("idx_sum"),
+        F.size("v.indices").cast("bigint").alias("nonzero"),
+        F.round(F.aggregate("v.values", F.lit(0.0), lambda a, x: a + x), 4).alias("total"),
+        F.aggregate("v.indices", F.lit(0).cast("bigint"), lambda a, i: a + i).alias("idx_sum"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scoreloom.catalog import common as C
 from scoreloom.catalog import sql as S
 from scoreloom.catalog.registry import query
-from scoreloom.operators import ensemble, metrics, models, report, search
+from scoreloom.operators import ensemble, metrics, models, report, resample, search
 from scoreloom.plans import chain, steps
 from scoreloom.session import scratch_path
 from scoreloom.sources import store
@@ -176,9 +176,13 @@ def sweep_status(spark, sf):
     )
 
 
+# Few and small fits, as there are over a hundred of them; the library's defaults are those of each step.
+FEW = {"trees": 8, "depth": 4}
 CHAIN = chain.Settings(
-    sets=("ngram", "keys", "desc", "chargram", "all_available"), ks=(50, 200), models=("RandomForest", "LogisticRegression", "GaussianNB", "DecisionTree"),
-    model_params=CHECK_PARAMS, forest=SMALL, candidates=3, space=SPACE, trees=16, rounds=8, views=("keys", "desc", "keys_desc"), keep=2,
+    sets=("keys", "desc", "all_available"), methods=("ANOVA", "RF_importance"), ks=(50, 200), models=("RandomForest", "LogisticRegression"),
+    model_params={**CHECK_PARAMS, "RandomForest": FEW}, forest=FEW,
+    scenarios=tuple(x for x in resample.SCENARIOS if x[0] in ("none", "balanced_oversampling", "balanced_undersampling")),
+    candidates=2, space={**SPACE, "n_estimators": (8,), "max_depth": (4,)}, trees=8, rounds=4, views=("keys", "desc"), keep=2,
 )
 _TRIED = {
     chain.ABLATION: len(CHAIN.sets), chain.SELECTION: len(CHAIN.methods) * len(CHAIN.ks), chain.COMPARISON: len(CHAIN.models),

@@ -108,6 +108,21 @@ def sparse_cells(df: DataFrame, families: Sequence[Family], keep: Sequence[str])
     return df.select(*keep, F.inline(F.concat(*parts)))
 
 
+def sparse_vector(families: Sequence[Family]) -> Column:
+    """What a sparse vector over `families` is made of; `session.stored` with `vectors` reads it back as one.
+
+    Only cells other than 0 are written, and no family is spread out on the way.
+    """
+    parts, at = [], 0
+    for f in families:
+        parts.append(_cells(f, at))
+        at += f.size
+    cells = F.array_sort(F.filter(F.concat(*parts), lambda c: c["x"] != 0))
+    return F.struct(
+        F.lit(0).cast("byte").alias("type"), F.lit(at).alias("size"), cells["idx"].alias("indices"), cells["x"].alias("values")
+    )
+
+
 def assemble(df: DataFrame, families: Sequence[Family], out: str = "features") -> DataFrame:
     """One vector column from the family columns; bit families stay sparse."""
     stages, inputs = [], []

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.hashing import order_key
-from scoreloom.session import bounded_side, materialise
+from scoreloom.session import bounded_side, materialise, stored
 
 PREFIX_DIGITS = 4  # 16**4 key prefixes per group
 
@@ -52,6 +52,8 @@ def assign_segments(
 ) -> DataFrame:
     """Cut every stratum, in seeded order, into consecutive segments of exact size.
 
+    Rows of each prefix are counted once, for the totals and the cuts.
+
     `takes` maps (strata..., n) to (strata..., segment, take): `take` rows of
     the stratum lie in segments 0..segment. The cuts are found first: only
     prefix counts and the rows of the few prefixes that hold a cut are shuffled.
@@ -61,15 +63,12 @@ def assign_segments(
     strata = list(strata)
     key = order_key(seed, purpose, row_id)
     keyed = df.select(*strata, F.col(row_id).alias("_row"), key.alias("_key"))
-    totals = bounded_side(keyed.groupBy(*strata).agg(F.count(F.lit(1)).alias("n")))
-    wanted = takes(totals).select(*strata, F.col("take").cast("bigint").alias("_rank"))
     prefixed = keyed.withColumn("_prefix", F.substring("_key", 1, digits))
+    counted = stored(prefixed.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_size")), "prefixes")
+    totals = bounded_side(counted.groupBy(*strata).agg(F.sum("_size").alias("n")))
+    wanted = takes(totals).select(*strata, F.col("take").cast("bigint").alias("_rank"))
     running = Window.partitionBy(*strata).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    ladder = (
-        prefixed.groupBy(*strata, "_prefix")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_upto", F.sum("_size").over(running))
-    )
+    ladder = counted.withColumn("_upto", F.sum("_size").over(running))
     edges = bounded_side(
         wanted.join(ladder, strata)
         .filter((F.col("_rank") > F.col("_upto") - F.col("_size")) & (F.col("_rank") <= F.col("_upto")))

@@ -63,8 +63,8 @@ def assembled(rows: DataFrame, families: Sequence[featurize.Family], policy: str
     for f in families:
         if f.kind == "dense":
             rows = clean.filled(rows, f.name, policy, rows.filter(F.col("split") == "train"))
-    wide = featurize.assemble(rows, families)
-    return stored(wide.select("dataset", "row_id", "target", "split", "inner", "fold", "features"), "assembled")
+    wide = rows.select("dataset", "row_id", "target", "split", "inner", "fold", featurize.sparse_vector(families).alias("features"))
+    return stored(wide, "assembled", vectors=["features"])
 
 
 def part(rows: DataFrame, dataset: str, which: str) -> DataFrame:

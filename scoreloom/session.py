@@ -6,9 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 BOUNDED_ROWS = 10_000
@@ -71,11 +74,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str = "stored") -> DataFrame:
-    """Write `df` to a parquet table beside the checkpoints; readers scan only the columns they use."""
+def stored(df: DataFrame, name: str = "stored", vectors: Sequence[str] = ()) -> DataFrame:
+    """Write `df` to a parquet table beside the checkpoints; readers scan only the columns they use.
+
+    Columns named in `vectors` are structs with the fields of a vector, and come back as vectors.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fields = [T.StructField(f.name, VectorUDT() if f.name in vectors else f.dataType) for f in df.schema]
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
 def bounded_side(df: DataFrame, max_rows: int = BOUNDED_ROWS) -> DataFrame:
