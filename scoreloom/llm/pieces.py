@@ -11,6 +11,7 @@ import bisect
 import functools
 import hashlib
 import heapq
+import itertools
 import re
 import sys
 from collections.abc import Iterator
@@ -113,6 +114,9 @@ class Pieces:
             rest = f"{run}*[^{run}{bare}]+|{run}+"
         self.segments = re.compile(f"[{bare}]|{rest}" if bare else rest)
         self.known: dict[str, bytes] = {}
+        #: A character that stands alone, after which the library encodes a segment as within a text.
+        self.lead = next((c for c in map(chr, range(128)) if c not in inside), "") if self.prefix and not self.trim else ""
+        self.odd: set[str] = set()
         self._ranked()
 
     def _ranked(self) -> None:
@@ -235,8 +239,38 @@ class Pieces:
         for at in range(0, short, ROWS):
             self._short(new[at : min(short, at + ROWS)])
         long = {segment: self._segment(segment) for segment in new[short:]}
+        if self.lead:
+            self._compare(new, long)
         return [self._whole(segments, long) for segments in cut]
 
+    def _compare(self, segments: list[str], long: dict[str, bytes]) -> None:
+        """Segments that are new here, as the library encodes them; those that differ are kept in `odd`."""
+        before = len(self.library.encode(self.lead))
+        for at in range(0, len(segments), ROWS):
+            some = segments[at : at + ROWS]
+            # The library puts a space before a text, which is the segment's own if it has one.
+            given = [x[1:] if x.startswith(self.space) else self.lead + x for x in some]
+            wanted = self.library.encode(given, num_threads=1)
+            wanted = [w if x.startswith(self.space) else w[before:] for x, w in zip(some, wanted, strict=True)]
+            ours = [long[x] if x in long else self.known[x] for x in some]
+            sizes = [4 * len(w) for w in wanted]
+            whole = np.fromiter(itertools.chain.from_iterable(wanted), "<u4", sum(sizes) // 4).tobytes()
+            if list(map(len, ours)) != sizes or b"".join(ours) != whole:
+                self.odd.update(x for x, o, w in zip(some, ours, wanted, strict=True) if o != np.array(w, "<u4").tobytes())
+
+    def agree(self, texts: list[str], ids: list[np.ndarray], decoded: list[str]) -> list[bool]:
+        """Whether the library gives each text's ids, and for these the decoded text.
+
+        A text's segments have been compared when they were new; the first text here, texts with a segment that differs,
+        and all texts of vocabularies whose segments can't be given alone are encoded whole.
+        """
+        theirs = self.library.decode([i.tolist() for i in ids], num_threads=1) if texts else []
+        same = [a == b for a, b in zip(decoded, theirs, strict=True)]
+        for k, text in enumerate(texts):
+            if k == 0 or not self.lead or self.odd and not self.odd.isdisjoint(self.segments.findall(self.normal(text))):
+                same[k] &= ids[k].tolist() == self.library.encode(text, add_bos=True, add_eos=True)
+        return same
+
     def _whole(self, segments: list[str], long: dict[str, bytes]) -> bytes:
         known = self.known
         ids = b"".join([long[s] if s in long else known[s] for s in segments] if long else map(known.__getitem__, segments))
@@ -303,8 +337,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, agrees) for every row of (doc_id, text, ...).
 
     Ids are those of the whole text between those of begin and end, hashed as little-endian unsigned 32-bit integers;
-    the decoded text is made from these ids. Each Arrow batch is also encoded and decoded by the sentencepiece library;
-    `agrees` says that ids and text are the same. A null text is empty and has the two ids only; very long texts are
+    the decoded text is made from these ids. In each Arrow batch the sentencepiece library encodes every segment that is
+    new, and the first text whole, and decodes all ids; `agrees` says that ids and text are the same. A null text is empty and has the two ids only; very long texts are
     taken whole; repeated rows have equal results; null ids stay; an empty table gives no rows. Other columns are left
     out. `path` must be there on all executors.
     """
@@ -315,8 +349,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
             for ids, texts in _some(batch):
                 ours = [np.frombuffer(data, "<u4") for data in model.encode(texts)]
                 back = [model.decode(o) for o in ours]
-                wanted = model.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-                agrees = [o.tolist() == w and b == model.library.decode(w) for o, b, w in zip(ours, back, wanted, strict=True)]
+                agrees = model.agree(texts, ours, back)
                 sums = [hashlib.sha256(o.tobytes()).hexdigest() for o in ours]
                 decoded = [hashlib.sha256(b.encode()).hexdigest() for b in back]
                 columns = [ids, [len(o) for o in ours], sums, decoded, agrees]

@@ -57,6 +57,17 @@ def test_long_runs_without_spaces(model):
     same(model, ["ab" * 3000, "執" * 500, " " * 700, "x\n" * 400, ""])
 
 
+def test_a_difference_from_the_library_is_said(monkeypatch):
+    """Without one of the vocabulary's pieces, texts whose ids change disagree, others don't."""
+    model = p.Pieces(vocabulary())
+    del model.scores["▁the"], model.ids["▁the"]
+    model._ranked()
+    texts = ["nothing odd", "say the word", "the", "no\nthe\nx", "x" * 99]
+    ids = [np.frombuffer(d, "<u4") for d in model.encode(texts)]
+    whole = [i.tolist() == model.library.encode(t, add_bos=True, add_eos=True) for i, t in zip(ids, texts, strict=True)]
+    assert model.agree(texts, ids, [model.decode(i) for i in ids]) == whole and False in whole and True in whole
+
+
 def test_every_row(spark, edge, edge_rows, empty, model):
     rows = p.encoded(edge, vocabulary()).collect()
     assert len(rows) == len(edge_rows) and all(r.agrees for r in rows)
