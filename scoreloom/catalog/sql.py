@@ -217,10 +217,5 @@ def metric_block(name: str, ladder_name: str, keys: str) -> str:
     )
 
 
-def sizes(rows: str) -> str:
-    """Test rows to take of each class of `rows`, by largest remainder."""
-    return _CTE["sizes"][1].replace("FROM pool", f"FROM {rows}")
-
-
 def rounded(*names: str, digits: int = 6) -> str:
     return ", ".join(f'round("{n}", {digits}) AS "{n}"' for n in names)
