@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 from collections.abc import Iterable
 
 CACHED_WORDS, CACHED_CHARS = 1_000_000, 48
+#: Words, known and unknown to a vocabulary, by which an encoder sees how a mark after a letter is cut.
+PROBES = ("a", "the", "word", "Wörter", "qzxjvk", "e", "it's", "x9y")
 
 
 def split(text: str) -> list[str]:
@@ -33,12 +36,19 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.words: dict[str, bytes] = {}
+        #: Ids of marks that a tokenizer cuts off after a letter, so that words are encoded once with and without them.
+        self.marks = {mark: self._encode([mark])[0] for mark in ".,"}
+        if any(self._encode([w + m])[0] != self._encode([w])[0] + ids for m, ids in self.marks.items() for w in PROBES):
+            self.marks = {}
 
     def _encode(self, words: list[str]) -> list[bytes]:
         import numpy as np
 
         out = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in out]
+        ids = [e.ids for e in out]
+        data = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
+        ends = list(itertools.accumulate((4 * len(x) for x in ids), initial=0))
+        return [data[a:b] for a, b in itertools.pairwise(ends)]
 
     def texts(self, texts: Iterable[str], end: int) -> list[bytes]:
         """For each text its ids and then `end`."""
@@ -46,12 +56,18 @@ class Encoder:
         words_of = [split(text) for text in texts]
         if len(known) > CACHED_WORDS:
             known.clear()
-        new = list(set().union(*words_of).difference(known))
+        fresh = set().union(*words_of).difference(known)
+        marked = [w for w in fresh if w[-1:] in self.marks and w[-2:-1].isascii() and w[-2:-1].isalpha()]
+        new = list(fresh.difference(marked).union({w[:-1] for w in marked}.difference(known)))
         long = {}
         for i in range(0, len(new), 50_000):
             part = new[i : i + 50_000]
             for word, ids in zip(part, self._encode(part), strict=True):
                 (known if len(word) <= CACHED_CHARS else long)[word] = ids
+        for word in marked:
+            stem = word[:-1]
+            ids = (long[stem] if stem in long else known[stem]) + self.marks[word[-1]]
+            (known if len(word) <= CACHED_CHARS else long)[word] = ids
         if long:
             return [b"".join([*(known[w] if w in known else long[w] for w in words), tail]) for words in words_of]
         get = known.__getitem__
