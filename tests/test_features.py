@@ -159,3 +159,36 @@ def test_naive_bayes_separates(spark):
     out = bayes.score(rows, bayes.fit(rows)).collect()
     assert sum(r.prediction == r.target for r in out) > 170
     assert all(0.0 <= r.score <= 1.0 for r in out)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_grams_are_hashed_in_batches_as_hash_slot_does(spark):
+    texts = ["abc", "abcd", "żółw 木曜日 x", "a😀bc😀 d", "one two one two one two", "a\x0bb\u00a0c d", "\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", T.ngram_bits(F.col("t"), bits=100).alias("w"), T.chargram_bits(F.col("t"), bits=100).alias("c"))
+    assert "md5" not in plan_of(rows)
+    for r in rows.collect():
+        words = tokens(r.t or "")
+        if not words:
+            assert r.w is None and r.c is None
+            continue
+        assert r.w == sorted({slot(" ".join(words[i : i + n]), 100) for n in (1, 2, 3) for i in range(len(words) - n + 1)})
+        assert r.c == sorted({slot(r.t[i : i + 4], 100) for i in range(len(r.t) - 3)})
+
+
+def test_texts_that_a_pattern_needs():
+    assert T.needed("[Ll]oser") == (["Loser", "loser"], True) and T.needed(r"www\.") == (["www."], True)
+    assert T.needed(r"(^|[ \n])[Uu]nd([ \n.,]|$)") == (["Und", "und"], False) and T.needed("https?://") == (["http"], False)
+    for pattern in ("a|b", "[0-9]", "(?i)ab", r"\x41", r"\p{L}", "[^a]", "[a&&b]", "a?", "(ab)"):
+        assert T.needed(pattern) == ([], False)
+
+
+def test_patterns_by_needed_texts_find_what_a_regex_finds(spark):
+    texts = ["und", "x Und.", "hund", "http:/", "see https://a", "www.a", "wwwxa", "a@b", "@ b", "<b", "< b", "{", "}", "8 €", "license", "", "The\r"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    every = [F.when(F.col("t").rlike(p), F.lit(i)) for i, p in enumerate(T.KEY_PATTERNS)]
+    for r in df.select("t", T.key_bits(F.col("t")).alias("k"), F.array_compact(F.array(*every)).alias("e")).collect():
+        assert r.k == (r.e if tokens(r.t) else None)
