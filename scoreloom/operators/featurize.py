@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
@@ -113,13 +114,18 @@ def sparse_vector(families: Sequence[Family]) -> Column:
 
     Only cells other than 0 are written, and no family is spread out on the way.
     """
-    parts, at = [], 0
+    indices, values, at = [], [], 0
     for f in families:
-        parts.append(_cells(f, at))
+        if f.kind == "bits":
+            indices.append(F.transform(F.array_sort(f.name), lambda b: (b + at).cast("int")))
+            values.append(F.when(F.col(f.name).isNotNull(), F.array_repeat(F.lit(1.0), F.size(f.name))))
+        else:
+            dense = F.transform(f.name, lambda v: v.cast("double"))
+            indices.append(F.array_compact(F.transform(dense, lambda v, i: F.when(v != 0, (i + at).cast("int")))))
+            values.append(F.filter(dense, lambda v: v != 0))
         at += f.size
-    cells = F.array_sort(F.filter(F.concat(*parts), lambda c: c["x"] != 0))
     return F.struct(
-        F.lit(0).cast("byte").alias("type"), F.lit(at).alias("size"), cells["idx"].alias("indices"), cells["x"].alias("values")
+        F.lit(0).cast("byte").alias("type"), F.lit(at).alias("size"), F.concat(*indices).alias("indices"), F.concat(*values).alias("values")
     )
 
 

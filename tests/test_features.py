@@ -192,3 +192,14 @@ def test_patterns_by_needed_texts_find_what_a_regex_finds(spark):
     every = [F.when(F.col("t").rlike(p), F.lit(i)) for i, p in enumerate(T.KEY_PATTERNS)]
     for r in df.select("t", T.key_bits(F.col("t")).alias("k"), F.array_compact(F.array(*every)).alias("e")).collect():
         assert r.k == (r.e if tokens(r.t) else None)
+
+
+def test_sparse_vectors_are_made_without_structs_of_cells(spark):
+    families = featurize.text_families(bits=16, patterns=("cat",))
+    made = [(1, [5, 2], [0], [0.5, 0.0, 3.0], [1]), (2, [], [], [0.0], []), (3, [1], None, [1.0], [4])]
+    df = spark.createDataFrame(made, "row_id int, ngram array<int>, keys array<int>, desc array<double>, chargram array<int>")
+    vectors = df.select("row_id", featurize.sparse_vector(families).alias("v"))
+    assert "named_struct(idx" not in plan_of(vectors)
+    got = {r.row_id: (r.v.indices, r.v["values"]) for r in vectors.collect()}
+    at = 17 + len(T.DESCRIPTOR_NAMES)
+    assert got == {1: ([2, 5, 16, 17, 19, at + 1], [1.0, 1.0, 1.0, 0.5, 3.0, 1.0]), 2: ([], []), 3: (None, None)}
