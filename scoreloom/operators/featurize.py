@@ -88,25 +88,21 @@ def manifest(spark: SparkSession, families: Sequence[Family]) -> DataFrame:
     return spark.createDataFrame(rows, "family string, idx int, feature string")
 
 
-def _cells(family: Family, base: int) -> Column:
-    """Array of (idx, x) of one family, idx shifted by `base`."""
-
-    def of_bit(bit: Column) -> Column:
-        return F.struct((bit + base).cast("int").alias("idx"), F.lit(1.0).alias("x"))
-
-    def of_value(value: Column, i: Column) -> Column:
-        return F.struct((i + base).cast("int").alias("idx"), value.cast("double").alias("x"))
-
-    return F.transform(family.name, of_bit if family.kind == "bits" else of_value)
-
-
 def sparse_cells(df: DataFrame, families: Sequence[Family], keep: Sequence[str]) -> DataFrame:
-    """(keep..., idx, x) of all stored cells; idx counts over `families`."""
+    """(keep..., idx, x) of all stored cells; idx counts over `families`.
+
+    Each family is read and spread out by itself, so no array of cells is built; a row that lacks a family has no cells.
+    """
+    whole = df.filter(reduce(lambda a, b: a & b, [F.col(f.name).isNotNull() for f in families]))
     parts, at = [], 0
     for f in families:
-        parts.append(_cells(f, at))
+        if f.kind == "bits":
+            cells = whole.select(*keep, F.explode(f.name).alias("_bit")).withColumn("_x", F.lit(1.0))
+        else:
+            cells = whole.select(*keep, F.posexplode(f.name).alias("_bit", "_x"))
+        parts.append(cells.select(*keep, (F.col("_bit") + at).cast("int").alias("idx"), F.col("_x").cast("double").alias("x")))
         at += f.size
-    return df.select(*keep, F.inline(F.concat(*parts)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def sparse_vector(families: Sequence[Family]) -> Column:

@@ -203,3 +203,14 @@ def test_sparse_vectors_are_made_without_structs_of_cells(spark):
     got = {r.row_id: (r.v.indices, r.v["values"]) for r in vectors.collect()}
     at = 17 + len(T.DESCRIPTOR_NAMES)
     assert got == {1: ([2, 5, 16, 17, 19, at + 1], [1.0, 1.0, 1.0, 0.5, 3.0, 1.0]), 2: ([], []), 3: (None, None)}
+
+
+def test_cells_are_spread_out_without_an_array_of_them(spark):
+    families = featurize.text_families(bits=16, patterns=("cat",))
+    made = [(1, [2, 5], [0], [0.5, 0.0], [1]), (2, [3], None, [1.0, 2.0], [4]), (3, [], [], [None, 2.0], [])]
+    df = spark.createDataFrame(made, "row_id int, ngram array<int>, keys array<int>, desc array<double>, chargram array<int>")
+    cells = featurize.sparse_cells(df, families, ["row_id"])
+    assert "named_struct" not in plan_of(cells)
+    at = 17 + len(T.DESCRIPTOR_NAMES)
+    want = [(1, 2, 1.0), (1, 5, 1.0), (1, 16, 1.0), (1, 17, 0.5), (1, 18, 0.0), (1, at + 1, 1.0), (3, 17, None), (3, 18, 2.0)]
+    assert sorted(map(tuple, cells.collect()), key=lambda r: r[:2]) == want
