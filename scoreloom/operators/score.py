@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.session import bounded_side
+from scoreloom.session import bounded_side, stored
 
 MAX_DOUBLE = 1.7976931348623157e308
 
@@ -122,13 +122,15 @@ def mutual_info_binned(
 ) -> DataFrame:
     """Mutual information (nats) of each feature, in equal-width bins, with the label.
 
-    Exact for 0/1 features; absent cells count as value 0.
+    Exact for 0/1 features; absent cells count as value 0. The cells are read once: all else is made of the number of
+    cells with each value, which is one row per class for a bit.
     """
     keys = [*dataset, "idx"]
+    counted = stored(cells.groupBy(*keys, label, "x").agg(F.count(F.lit(1)).alias("_c")), "values")
     totals = class_rows.groupBy(*dataset).agg(F.sum("rows").alias("_n"))
     ranges = bounded_side(
-        cells.groupBy(*keys)
-        .agg(F.min("x").alias("_min"), F.max("x").alias("_max"), F.count(F.lit(1)).alias("_k"))
+        counted.groupBy(*keys)
+        .agg(F.min("x").alias("_min"), F.max("x").alias("_max"), F.sum("_c").alias("_k"))
         .join(totals, list(dataset))
         .select(
             *keys,
@@ -145,10 +147,10 @@ def mutual_info_binned(
         return F.least(place, F.lit(bins - 1)).cast("int")
 
     joint = (
-        cells.join(ranges, keys)
+        counted.join(ranges, keys)
         .withColumn("bin", bin_of(F.col("x")))
         .groupBy(*keys, label, "bin")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.sum("_c").alias("_c"))
     )
     absent = (
         ranges.join(class_rows, list(dataset))

@@ -214,3 +214,16 @@ def test_cells_are_spread_out_without_an_array_of_them(spark):
     at = 17 + len(T.DESCRIPTOR_NAMES)
     want = [(1, 2, 1.0), (1, 5, 1.0), (1, 16, 1.0), (1, 17, 0.5), (1, 18, 0.0), (1, at + 1, 1.0), (3, 17, None), (3, 18, 2.0)]
     assert sorted(map(tuple, cells.collect()), key=lambda r: r[:2]) == want
+
+
+def test_mutual_information_reads_cells_once(spark):
+    cells, classes = cells_of(spark, [[1, 0.5], [0, 2.5], [1, 0]], [1, 0, 0])
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(x):
+        seen.add(1)
+        return x
+
+    noted = cells.withColumn("x", F.udf(note, "double").asNondeterministic()("x"))
+    assert score.mutual_info_binned(noted, classes).count() == 2
+    assert seen.value == cells.count()
