@@ -366,7 +366,8 @@ def median_impute_sparse(spark, sf):
     rows = rows.filter((F.col("split") == "train") & F.col("desc").isNotNull())
     cells = featurize.sparse_cells(rows, C.FAMILIES, ["dataset", "row_id"])
     missing = (F.col("row_id") + F.col("idx")) % 7 == 0
-    holes = rows.select("dataset", "row_id", F.explode(F.sequence(F.lit(0), F.lit(_WIDTH - 1))).alias("idx")).filter(missing)
+    first = F.pmod(-F.col("row_id"), F.lit(7)).cast("int")
+    holes = rows.select("dataset", "row_id", F.explode(F.sequence(first, F.lit(_WIDTH - 1), F.lit(7))).alias("idx"))
     cells = cells.filter(~missing).unionByName(holes.withColumn("x", F.lit(None).cast("double")))
     sizes = rows.groupBy("dataset").agg(F.count("*").alias("n"))
     medians = clean.sparse_median(cells.drop("row_id"), sizes)

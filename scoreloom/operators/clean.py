@@ -151,25 +151,36 @@ def sparse_median(
 ) -> DataFrame:
     """(group, idx, median) from stored cells (group, idx, x) and the rows of each group (group, n).
 
-    Cells that are not stored are 0, those with a null are missing. Where zeros fill the middle the counts of smaller
-    and larger cells say so, and nothing is ordered; that is every bit that less than half of the rows have. Other
-    features have more stored cells than zeros, and only their zeros are written out. A feature without any stored cell
-    is not in the result (its median is 0), one that is always missing has a null.
+    Cells that are not stored are 0, those with a null are missing. Where the two middle values lie among zeros, or among
+    negative or positive cells that are all equal, their counts say what they are and nothing is ordered; that is every
+    bit, however many rows have it. Only the cells and zeros of other features are written out, once. A feature without
+    any stored cell is not in the result (its median is 0), one that is always missing has a null.
     """
     group = list(group)
     x = F.col("x")
     count = lambda cond: F.sum(cond.cast("long"))
-    held = cells.groupBy(*group, "idx").agg(count(x < 0).alias("_neg"), count(x > 0).alias("_pos"), count(x == 0).alias("_zero"), count(x.isNull()).alias("_null"))
+    ends = [end(F.when(side, x)).alias(name) for name, end, side in (
+        ("_neg_min", F.min, x < 0), ("_neg_max", F.max, x < 0), ("_pos_min", F.min, x > 0), ("_pos_max", F.max, x > 0))]
+    held = cells.groupBy(*group, "idx").agg(
+        count(x < 0).alias("_neg"), count(x > 0).alias("_pos"), count(x == 0).alias("_zero"), count(x.isNull()).alias("_null"), *ends
+    )
     held = held.fillna(0, ["_neg", "_pos", "_zero"]).join(sizes.select(*group, F.col("n").alias("_rows")), group)
     held = held.withColumn("_n", F.col("_rows") - F.col("_null"))
-    held = stored(held.withColumn("_zeros", F.col("_n") - F.col("_neg") - F.col("_pos")), "cells")
-    lower, upper = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
-    middle = (F.col("_n") > 0) & (lower > F.col("_neg")) & (upper <= F.col("_neg") + F.col("_zeros"))
-    known = held.filter(middle | (F.col("_n") == 0)).select(*group, "idx", F.when(F.col("_n") > 0, 0.0).alias("median"))
-    open_ = held.filter(~middle & (F.col("_n") > 0))
+    held = held.withColumn("_zeros", F.col("_n") - F.col("_neg") - F.col("_pos"))
+
+    def lies(rank):
+        """The value at a rank, if the counts tell it."""
+        negative = F.when(F.col("_neg_min") == F.col("_neg_max"), F.col("_neg_min"))
+        positive = F.when(F.col("_pos_min") == F.col("_pos_max"), F.col("_pos_min"))
+        return F.when(rank <= F.col("_neg"), negative).when(rank <= F.col("_neg") + F.col("_zeros"), 0.0).otherwise(positive)
+
+    middle = (lies(F.expr("(_n + 1) div 2")) + lies(F.expr("_n div 2 + 1"))) / 2
+    held = stored(held.withColumn("median", F.when(F.col("_n") > 0, middle)), "cells")
+    known = held.filter(F.col("median").isNotNull() | (F.col("_n") == 0)).select(*group, "idx", "median")
+    open_ = held.filter(F.col("median").isNull() & (F.col("_n") > 0))
     values = cells.filter(x.isNotNull()).join(open_.select(*group, "idx"), [*group, "idx"]).select(*group, "idx", x.cast("double").alias("x"))
     absent = open_.filter("_zeros > _zero").select(*group, "idx", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_zeros") - F.col("_zero"))).alias("x"))
-    every = values.unionByName(absent.withColumn("x", F.lit(0.0)))
+    every = stored(values.unionByName(absent.withColumn("x", F.lit(0.0))), "open")
     return known.unionByName(exact_median(every, [*group, "idx"], bracketed))
 
 

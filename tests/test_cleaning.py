@@ -127,3 +127,13 @@ def test_missing_values_by_policy(spark):
     by = lambda df: {r.row_id: r.v for r in df.collect()}
     assert by(clean.filled(rows, "v")) == {0: [1.0, 0.0, 0.0], 1: [3.0, 0.0, 5.0], 2: [0.0, 2.0, 0.0]}
     assert by(clean.filled(rows, "v", "median", train)) == {0: [1.0, 0.0, 5.0], 1: [3.0, 0.0, 5.0], 2: [2.0, 2.0, 5.0]}
+
+
+def test_medians_of_equal_cells_follow_from_their_counts(spark, monkeypatch):
+    columns = {0: [1.0] * 7 + [0.0], 1: [1.0] * 4 + [0.0] * 4, 2: [-2.0] * 5 + [3.0, 0.0, 0.0], 3: [1.0] * 5 + [None] * 3}
+    data = [("d", i, x) for i, column in columns.items() for x in column if x != 0]
+    df, sizes = spark.createDataFrame(data, "dataset string, idx int, x double"), spark.createDataFrame([("d", 8)], "dataset string, n long")
+    ordered, whole = [], clean.exact_median
+    monkeypatch.setattr(clean, "exact_median", lambda cells, *rest: ordered.append(cells.count()) or whole(cells, *rest))
+    assert {r.idx: r.median for r in clean.sparse_median(df, sizes).collect()} == {0: 1.0, 1: 0.5, 2: -2.0, 3: 1.0}
+    assert ordered == [0]
