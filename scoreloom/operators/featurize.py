@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,7 +113,7 @@ def sparse_vector(families: Sequence[Family]) -> Column:
     indices, values, at = [], [], 0
     for f in families:
         if f.kind == "bits":
-            indices.append(F.transform(F.array_sort(f.name), lambda b: (b + at).cast("int")))
+            indices.append(F.transform(F.sort_array(f.name), lambda b: (b + at).cast("int")))
             values.append(F.when(F.col(f.name).isNotNull(), F.array_repeat(F.lit(1.0), F.size(f.name))))
         else:
             dense = F.transform(f.name, lambda v: v.cast("double"))
@@ -125,6 +125,13 @@ def sparse_vector(families: Sequence[Family]) -> Column:
     )
 
 
+def joined(df: DataFrame, families: Sequence[Family], out: str = "features") -> DataFrame:
+    """One vector column from columns that hold each family's vector; sizes come from the families, so no row is read for them."""
+    for f in families:
+        df = VectorSizeHint(inputCol=f.name, size=f.size, handleInvalid="optimistic").transform(df)
+    return VectorAssembler(inputCols=[f.name for f in families], outputCol=out, handleInvalid="keep").transform(df)
+
+
 def assemble(df: DataFrame, families: Sequence[Family], out: str = "features") -> DataFrame:
     """One vector column from the family columns; bit families stay sparse."""
     stages, inputs = [], []

@@ -39,6 +39,7 @@ class Experiment:
 
 # Where a step trains and where it measures.
 SELECT_ON: Mapping[str, tuple[str, str]] = {"test": ("train", "test"), "valid": ("fit", "valid")}
+MARKS = ("dataset", "row_id", "target", "split", "inner", "fold")
 
 
 def prepare(
@@ -60,11 +61,26 @@ def assembled(rows: DataFrame, families: Sequence[featurize.Family], policy: str
 
     Missing values become 0, or with policy `median` the median of the dataset's training rows.
     """
+    wide = _filled(rows, families, policy).select(*MARKS, featurize.sparse_vector(families).alias("features"))
+    return stored(wide, "assembled", vectors=["features"])
+
+
+def family_vectors(rows: DataFrame, families: Sequence[featurize.Family], policy: str = "zero") -> DataFrame:
+    """Each family as a vector column, written once for any number of feature sets; `input_of` joins those of a set."""
+    vectors = [featurize.sparse_vector([f]).alias(f.name) for f in families]
+    return stored(_filled(rows, families, policy).select(*MARKS, *vectors), "vectors", vectors=[f.name for f in families])
+
+
+def input_of(vectors: DataFrame, families: Sequence[featurize.Family]) -> DataFrame:
+    """Model input over `families` as `assembled` has it, from `family_vectors`; a reader scans the vectors it needs."""
+    return featurize.joined(vectors, families).select(*MARKS, "features")
+
+
+def _filled(rows: DataFrame, families: Sequence[featurize.Family], policy: str) -> DataFrame:
     for f in families:
         if f.kind == "dense":
             rows = clean.filled(rows, f.name, policy, rows.filter(F.col("split") == "train"))
-    wide = rows.select("dataset", "row_id", "target", "split", "inner", "fold", featurize.sparse_vector(families).alias("features"))
-    return stored(wide, "assembled", vectors=["features"])
+    return rows
 
 
 def part(rows: DataFrame, dataset: str, which: str) -> DataFrame:
@@ -104,9 +120,10 @@ def ablation(
     """One forest per dataset and feature set; rows of the set `reference` (the first family) are marked in Comparison."""
     learn, measure = SELECT_ON[select_on]
     experiments = []
-    for name in sets or featurize.available_sets(families):
-        chosen = featurize.select_families(families, name)
-        ready = assembled(rows, chosen)
+    picked = {name: featurize.select_families(families, name) for name in sets or featurize.available_sets(families)}
+    vectors = family_vectors(rows, [f for f in families if any(f in chosen for chosen in picked.values())])
+    for name, chosen in picked.items():
+        ready = input_of(vectors, chosen)
         experiments += [
             Experiment(
                 name, d, lambda d=d, r=ready: part(r, d, learn), lambda d=d, r=ready: part(r, d, measure),
@@ -261,8 +278,10 @@ def view_scores(
 ) -> tuple[DataFrame, DataFrame]:
     """(validation, test) scores per feature set: an inner fit for validation, a full fit for test."""
     jobs = []
-    for name in sets:
-        ready = assembled(rows, featurize.select_families(families, name))
+    picked = {name: featurize.select_families(families, name) for name in sets}
+    vectors = family_vectors(rows, [f for f in families if any(f in chosen for chosen in picked.values())])
+    for name, chosen in picked.items():
+        ready = input_of(vectors, chosen)
         for d in datasets:
             fit = resample.to_ratio(part(ready, d, "fit"), ratio, method, seed=seed)
             full = resample.to_ratio(part(ready, d, "train"), ratio, method, seed=seed)

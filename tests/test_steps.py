@@ -32,6 +32,19 @@ def test_selection_on_validation_rows(rows):
     assert table.TN + table.FP + table.FN + table.TP == held
 
 
+def test_feature_sets_share_vectors_that_are_written_once(rows, monkeypatch):
+    written, stored = [], steps.stored
+    monkeypatch.setattr(steps, "stored", lambda df, name, **kw: written.append(name) or stored(df, name, **kw))
+    table = steps.ablation(rows, FAMILIES, ["quality"], sets=["keys", "desc", "keys_desc"], params=FAST)
+    assert written == ["vectors"] and {r.Status for r in table.collect()} == {"OK"}
+    vectors = steps.family_vectors(rows, FAMILIES)
+    for name in ("desc", "keys_desc"):
+        chosen = featurize.select_families(FAMILIES, name)
+        key = ("row_id", "dataset")
+        got, want = (df.orderBy(*key).collect() for df in (steps.input_of(vectors, chosen), steps.assembled(rows, chosen)))
+        assert [r.asDict() for r in got] == [r.asDict() for r in want]
+
+
 def test_tuning_names_the_settings_that_it_fits(rows):
     ready = steps.assembled(rows, FAMILIES)
     space = {**search.FOREST_SPACE, "n_estimators": (4,), "max_depth": (3,), "min_samples_leaf": (1,), "max_features": ("sqrt",)}
