@@ -227,3 +227,23 @@ def test_mutual_information_reads_cells_once(spark):
     noted = cells.withColumn("x", F.udf(note, "double").asNondeterministic()("x"))
     assert score.mutual_info_binned(noted, classes).count() == 2
     assert seen.value == cells.count()
+
+
+def test_key_patterns_are_searched_as_java_does(spark):
+    """All patterns of the dictionary run in Arrow batches, with the ends of lines that Java knows; others stay with Spark."""
+    ends = ["", "\n", "\r", "\r\n", "\n\r", "\n\n", "\x85", "\u2028", "\u2029", "\x0b", ".", "\r.", "é"]
+    texts = [f"{a}{w}{e}" for a in ("", "x ", "x\n", "x\r", "é") for w in ("the", "The", "und", "Le", "los", "le") for e in ends]
+    texts += ["A1B", "AB", "1234 x", "a@b", "@", "<b", "< b", "https://", "http:/", '"', "'", "ä€", "x..", "\n\n x", " \n", "", None, "\U0001f600!", "\\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    more = [r"[^a]", r"x.y", *T.KEY_PATTERNS]
+    assert all(T._finder(p) for p in T.KEY_PATTERNS) and not any(T._finder(p) for p in more[:2])
+    got = df.select("id", T.key_bits(F.col("text")).alias("a"), T._key_bits(F.col("text"), T.KEY_PATTERNS).alias("b"),
+                    T.key_bits(F.col("text"), more).alias("c")).collect()
+    assert [r for r in got if r.a != r.b] == []
+    assert all([i - 2 for i in r.c if i > 1] == r.b for r in got if r.b is not None)
+
+
+def test_descriptors_split_at_the_same_blanks_as_the_token_rule(spark):
+    text = "a\x0bb \x1cc\xa0d\u2003e f\u3000\x85g\th"
+    row = spark.createDataFrame([(text,), ("b a a\nc\rd\fe",)], "text string").select(T.descriptors(F.col("text")).alias("d")).collect()
+    assert [r.d[T.DESCRIPTOR_NAMES.index("n_tokens")] for r in row] == [4.0, 6.0]
