@@ -8,7 +8,7 @@ import zstandard
 
 from scoreloom.llm import packing, token_store
 from scoreloom.llm.queries import END_ID, tokenizer
-from scoreloom.llm.tokens import encoder
+from scoreloom.llm.tokens import Encoder, encoder
 
 TEXTS = ["", " \n ", "It's 3 o'clock, isn't it?", "a b c\x1cd́ é ́x", "<|endoftext|> and <|startoftext|>x", "ÀÉÎ Straße ΑΣ \U0001f600", "x" * 5000, "tab\tand\rreturn\x0bvertical\x0cform"]
 
@@ -26,6 +26,21 @@ def test_cached_words_give_the_ids_of_whole_texts(edge_rows):
         assert encoder(tokenizer()).texts(texts, END_ID) == [x.tobytes() for x in plain(texts)]
 
 
+def test_plain_words_are_encoded_together_and_marks_cut_off():
+    texts = [
+        "retreon%%% retreon,!! Retreon... aninst** zebra zebra- q qu a", "it's. don't!! x'. 'tis' rock'n'roll,",
+        "foo<|endoftext|> foo<|endoftext|>. <|endoftext|>!! Foo|> foo|>", "é! eé!! é́. naïve$$ x́, x́ \x0b, a\x0b. a\xa0b.",
+        "Éa Foo fOO!! I Iİ İ K S ſ", "7. a7. 7a. -- .. a-b-c.. a.b.c, " + "z" * 60 + "!! " + "y" * 60, " ".join(chr(97 + i % 26) * (i % 7 + 1) for i in range(300)),
+    ]
+    encode = Encoder(tokenizer())
+    whole, seen = encode._encode, []
+    encode._encode = lambda words: seen.extend(words) or whole(words)
+    for _ in range(2):
+        assert encode.texts(texts, END_ID) == [x.tobytes() for x in plain(texts)]
+    assert encode.bare and not [w for w in seen if w.isascii() and w.isalpha()]
+    assert not {"retreon%%%", "retreon,!!", "aninst**"} & set(seen)
+
+
 @pytest.fixture(scope="module")
 def ordered(edge_rows):
     place = lambda text: np.uint64(xxhash.xxh64_intdigest((text or "").encode(), 42)).astype(np.int64)
